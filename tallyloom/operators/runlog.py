@@ -15,14 +15,14 @@ RUN_LOG_SCHEMA = (
 )
 
 
-def append_run(spark: SparkSession, path: str, **values: str | int | datetime | None) -> None:
+def append_run(spark: SparkSession, log_path: str, **values: str | int | datetime | None) -> None:
     names = [part.split()[0] for part in RUN_LOG_SCHEMA.split(", ")]
     row = spark.createDataFrame([tuple(values.get(name) for name in names)], RUN_LOG_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(path)
+    row.coalesce(1).write.mode("append").parquet(log_path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+def read_log(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(log_path)
 
 
 def latest_runs(

@@ -1,0 +1,58 @@
+"""Run a registered query and its oracle over the same tables and compare names, types and rows."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for path in Path(folder).glob("*.parquet"):
+        connection.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
+    return connection
+
+
+def normal(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    if isinstance(value, Decimal):
+        return ("decimal", str(value))
+    return value
+
+
+def rows_by_name(names, rows) -> Counter:
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return Counter(tuple(normal(row[i]) for i in order) for row in rows)
+
+
+KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
+def differences(df, connection, sql: str) -> str | None:
+    """What differs, or None. Row order does not count; duplicates do."""
+    relation = connection.sql(sql)
+    expected_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
+    found_types = {name: KINDS.get(kind, kind) for name, kind in df.dtypes}
+    if expected_types != found_types:
+        return f"schema: spark {found_types} duckdb {expected_types}"
+    expected = rows_by_name(relation.columns, relation.fetchall())
+    found = rows_by_name(df.columns, [tuple(row) for row in df.collect()])
+    if expected == found:
+        return None
+    missing, extra = expected - found, found - expected
+    return (
+        f"rows: spark {found.total()} duckdb {expected.total()}; "
+        f"missing {list(missing.items())[:2]}; extra {list(extra.items())[:2]}"
+    )
