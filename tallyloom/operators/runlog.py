@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.dates import wall_clock
 from tallyloom.operators.changes import latest_per_key
 
 RUN_LOG_SCHEMA = (
@@ -16,9 +17,16 @@ RUN_LOG_SCHEMA = (
 
 
 def append_run(spark: SparkSession, log_path: str, **values: str | int | datetime | None) -> None:
-    names = [part.split()[0] for part in RUN_LOG_SCHEMA.split(", ")]
-    row = spark.createDataFrame([tuple(values.get(name) for name in names)], RUN_LOG_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(log_path)
+    fields = [part.split() for part in RUN_LOG_SCHEMA.split(", ")]
+    row = spark.range(1, numPartitions=1).select(
+        *[
+            (wall_clock(values[name]) if isinstance(values.get(name), datetime) else F.lit(values.get(name)))
+            .cast(kind)
+            .alias(name)
+            for name, kind in fields
+        ]
+    )
+    row.write.mode("append").parquet(log_path)
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:

@@ -3,10 +3,14 @@
 All expressions are plain column expressions over the parquet scans, so column choice and filters on unchanged
 columns reach the files. Status ``F`` stands for a posted voucher. Some codes have no dimension row on purpose:
 detail ``NATION_25``, document type 5, company 25, products with a negative number.
+
+The functions keep their plans per session and folder; no data is kept.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +21,7 @@ from tallyloom.sources.ledger import COMPANY, Ledger
 POSTED = "F"
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -47,6 +52,7 @@ def _voucher_key(number: str) -> list[Column]:
     return [(key % 7 + 1995).cast("int").alias("cpbano"), key.alias("cpbnum"), (key % 5).alias("areacod")]
 
 
+@lru_cache(maxsize=8)
 def ledger(spark: SparkSession, folder: str) -> Ledger:
     items, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     part, returned = table(spark, folder, "part"), F.col("l_returnflag") == "R"
@@ -132,6 +138,7 @@ def ledger(spark: SparkSession, folder: str) -> Ledger:
     )
 
 
+@lru_cache(maxsize=8)
 def company_ledger(spark: SparkSession, folder: str) -> Ledger:
     """The same vouchers dealt out to four companies, which share the dimension tables."""
     single = ledger(spark, folder)
@@ -159,6 +166,7 @@ def invoices(orders: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
 def erp(spark: SparkSession, folder: str) -> Erp:
     items, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
     line_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
