@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,13 +44,13 @@ class SnapshotStore:
         try:
             df = result() if callable(result) else result
             path = f"{self.root}/reports/{report}/{run_id}"
-            counted = Observation()
-            out = df.observe(counted, F.count(F.lit(1)).alias("rows"))
             if partition_by:
-                out = out.hint("rebalance", *partition_by)
-            writer = out.write.mode("error")
-            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-            rows = counted.get["rows"]
+                df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+            else:
+                df.write.parquet(path)
+            # Counted from the footers of the files just written; an observed metric is lost when the optimizer
+            # replaces an empty result.
+            rows = self.spark.read.schema(df.schema).parquet(path).count()
         except Exception as error:
             append_run(
                 self.spark,

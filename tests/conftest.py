@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.maxPlanStringLength", "10000000")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators.runlog import latest_runs
+from tallyloom.operators.snapshots import SnapshotStore
+from tallyloom.plans import balances, lines
+from tallyloom.plans.jobs import ReportCall, run_job
+from tallyloom.sources.newest import load_newest, newest_export
+from tests.literal import ledger, line, rows
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    moments = (datetime(2024, 1, 1) + timedelta(seconds=n) for n in range(1000))
+    return SnapshotStore(spark, str(tmp_path / "store"), clock=lambda: next(moments))
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "n INT")
+
+
+def test_a_new_run_replaces_the_snapshot(spark, store):
+    assert store.write("r", numbers(spark, 1, 2, 3)) == 3
+    assert store.write("r", numbers(spark, 4)) == 1
+    assert rows(store.read("r")) == [(4,)]
+
+
+def test_a_failed_run_keeps_the_old_snapshot_and_is_logged(spark, store):
+    store.write("r", numbers(spark, 1))
+    with pytest.raises(Exception, match="broken"):
+        store.write("r", numbers(spark, 2).select(F.raise_error(F.lit("broken")).cast("int").alias("n")))
+    assert rows(store.read("r")) == [(1,)]
+    last = latest_runs(store.log()).first()
+    assert last["status"] == "failed" and "broken" in last["message"] and last["started_at"] < last["finished_at"]
+
+
+def test_an_empty_result_is_a_snapshot_with_columns(spark, store):
+    store.write("r", numbers(spark, 1))
+    assert store.write("r", numbers(spark, 1).where("n > 5")) == 0
+    assert store.read("r").dtypes == [("n", "int")] and rows(store.read("r")) == []
+    store.write("p", numbers(spark, 1).where("n > 5").withColumn("company", F.lit("a")), ["company"])
+    assert rows(store.read("p")) == []
+
+
+def test_partition_values_keep_their_type(spark, store):
+    df = numbers(spark, 1, 2).withColumn("company", F.lit("001"))
+    store.write("r", df, ["company"])
+    assert rows(store.read("r")) == [(1, "001"), (2, "001")]
+
+
+def test_unknown_report(spark, store):
+    store.write("r", numbers(spark, 1))
+    with pytest.raises(LookupError):
+        store.read("other")
+
+
+def test_job_writes_every_target_and_logs_every_report(spark, store, tmp_path):
+    data = ledger(spark, [line(debe=1), line(mes="02", debe=2)])
+    calls = [
+        ReportCall(("current", "year"), balances.account_month_balance),
+        ReportCall("bad", lambda tables: tables.lines.select("no_such_column")),
+        ReportCall("detail", lines.expense_detail, {"centers": "01-11"}),
+    ]
+    done = run_job(store, data, calls, journal_path=str(tmp_path / "journal"), stop_on_error=False)
+    assert done == {"current": 2, "year": 2, "bad": None, "detail": 2}
+    assert rows(store.read("current")) == rows(store.read("year")) == rows(balances.account_month_balance(data))
+    status = {r["report"]: r["status"] for r in latest_runs(store.log()).collect()}
+    assert status == {"current": "ok", "year": "ok", "bad": "failed", "detail": "ok"}
+    with pytest.raises(Exception, match="no_such_column"):
+        run_job(store, data, calls)
+
+
+def test_newest_file_is_loaded_and_only_that(spark, tmp_path):
+    for name, text, age in (("b.csv", "k,v\n1,old\n", 100), ("a.csv", "k,v\n2,new\n3,new\n", 0)):
+        path = tmp_path / name
+        path.write_text(text)
+        os.utime(path, (1_700_000_000 - age,) * 2)
+    (tmp_path / "z.txt").write_text("newer, but no csv")
+    loaded = load_newest(spark, str(tmp_path), pattern="*.csv", schema="k INT, v STRING")
+    assert rows(loaded) == [(2, "new"), (3, "new")]
+    assert load_newest(spark, f"file:{tmp_path}", pattern="*.csv").count() == 2
+
+
+def test_equal_times_are_settled_by_name(spark, tmp_path):
+    for name in ("a.json", "b.json"):
+        (tmp_path / name).write_text(f'{{"n": "{name}"}}\n')
+        os.utime(tmp_path / name, (1_700_000_000,) * 2)
+    assert rows(load_newest(spark, str(tmp_path), "json")) == [("b.json",)]
+
+
+def test_newest_export_of_several_part_files_is_whole(spark, tmp_path):
+    numbers(spark, 1).write.parquet(str(tmp_path / "z-old"))
+    numbers(spark, *range(20)).repartition(4).write.parquet(str(tmp_path / "a-new"))
+    for path in (tmp_path / "z-old").iterdir():
+        os.utime(path, (1_600_000_000,) * 2)
+    assert newest_export(spark, str(tmp_path), "*.parquet").endswith("/a-new")
+    assert load_newest(spark, str(tmp_path), "parquet", "*.parquet").count() == 20
+
+
+def test_empty_folder(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        newest_export(spark, str(tmp_path))
