@@ -105,7 +105,7 @@ def test_replication_reads_on_from_the_watermark(spark, tmp_path):
 
 def test_watermark_is_taken_before_reading(spark, tmp_path):
     replica, mark = Replica(spark, str(tmp_path)), Watermark(spark, str(tmp_path / "mark"))
-    clock_of_the_scan = F.convert_timezone(F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+    clock_of_the_scan = F.expr("convert_timezone('UTC', localtimestamp())")
     source = table(spark, (1, "a", day(1))).withColumn("write_date", clock_of_the_scan)
     cutoff = replicate(replica, {"t": source}, mark)
     assert mark.read() == cutoff and cutoff <= replica.read("t").first()["write_date"]
