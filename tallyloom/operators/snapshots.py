@@ -1,7 +1,8 @@
 """Full-refresh report output.
 
-Every run writes a directory of its own, and the run log then names it as current. A failed run leaves the previous
-snapshot in place, and an empty result is a snapshot with its columns and no rows.
+Each report has two directories. A run overwrites the one that is not current, and the run log then names it as
+current. A failed run leaves the current snapshot in place, readers of it stay undisturbed until the run after next,
+and storage does not grow with the number of runs. An empty result is a snapshot with its columns and no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +44,11 @@ class SnapshotStore:
         append_run(self.spark, self.log_path, **run, status="started")
         try:
             df = result() if callable(result) else result
-            path = f"{self.root}/reports/{report}/{run_id}"
+            path = self._spare_path(report)
             if partition_by:
-                df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+                df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             else:
-                df.write.parquet(path)
+                df.write.mode("overwrite").parquet(path)
             # Counted from the footers of the files just written; an observed metric is lost when the optimizer
             # replaces an empty result.
             rows = self.spark.read.schema(df.schema).parquet(path).count()
@@ -73,10 +74,17 @@ class SnapshotStore:
         )
         return rows
 
+    def _current(self, report: str) -> Row | None:
+        return latest_finished(self.log().where(F.col("report") == report)).select("path", "schema_json").first()
+
+    def _spare_path(self, report: str) -> str:
+        first, second = (f"{self.root}/reports/{report}/{side}" for side in ("a", "b"))
+        current = self._current(report)
+        return second if current is not None and current["path"] == first else first
+
     def read(self, report: str) -> DataFrame:
         """The current snapshot of a report."""
-        finished = latest_finished(self.log().where(F.col("report") == report))
-        current = finished.select("path", "schema_json").first()
+        current = self._current(report)
         if current is None:
             raise LookupError(f"no finished run of {report}")
         schema = T.StructType.fromJson(json.loads(current["schema_json"]))

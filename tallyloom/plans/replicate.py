@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,8 @@ from tallyloom.functions.dates import utc_now
 from tallyloom.operators.changes import WRITE_DATE, changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
 from tallyloom.sources.cleaning import nan_to_null
+from tallyloom.sources.erp import Erp
+from tallyloom.sources.schemas import ERP_TABLES
 
 SLOT = "slot"
 
@@ -70,6 +71,11 @@ class Replica:
         )
 
 
+def replicated_erp(replica: Replica, names: Mapping[str, str] = ERP_TABLES) -> Erp:
+    """The replicated tables as input of the ERP reports."""
+    return Erp(**{table: replica.read(name) for table, name in names.items()})
+
+
 def replicate(
     replica: Replica,
     sources: Mapping[str, DataFrame],
@@ -81,14 +87,14 @@ def replicate(
 
     The new cutoff is taken before anything is read, so rows written meanwhile come again next time, which the merge
     makes harmless. Changes are first landed as files: the merge then works on a fixed batch and never asks the
-    source twice. If any table fails, the error goes to the caller and the watermark stays, so the next run repeats.
+    source twice; the next run replaces them. If any table fails, the error goes to the caller and the watermark stays, so the next run repeats.
     Rows deleted in the source are not seen, because only write dates are read.
     """
     cutoff = now or utc_now()
     since = watermark.read()
-    landing = f"{replica.root}/landing/{uuid4().hex}"
+    landing = f"{replica.root}/landing"
     for table, source in sources.items():
-        nan_to_null(changed_rows(source, since)).write.parquet(f"{landing}/{table}")
+        nan_to_null(changed_rows(source, since)).write.mode("overwrite").parquet(f"{landing}/{table}")
     for table, source in sources.items():
         replica.merge(table, replica.spark.read.schema(source.schema).parquet(f"{landing}/{table}"))
     watermark.advance(cutoff)

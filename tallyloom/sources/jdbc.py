@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.sources.erp import Erp
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import LEDGER_TABLES
+from tallyloom.sources.schemas import ERP_TABLES, LEDGER_TABLES
 
 
 def jdbc_options(
@@ -46,19 +47,28 @@ def scan(spark: SparkSession, url: str, source: str, **options) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_options(url, source, **options)).load()
 
 
-def scan_ledger(
+def scan_tables(
     spark: SparkSession,
     url: str,
-    schema: str,
+    names: Mapping[str, str],
     *,
+    schema: str | None = None,
     splits: Mapping[str, Mapping[str, object]] | None = None,
-    names: Mapping[str, str] = LEDGER_TABLES,
     **options,
-) -> Ledger:
-    """All tables of a ledger. ``splits`` gives split_column, lower, upper and partitions for the large ones."""
+) -> dict[str, DataFrame]:
+    """Several tables with lower-case columns. ``splits`` gives split_column, lower, upper and partitions per table."""
     splits = splits or {}
     tables = {}
     for table, name in names.items():
-        df = scan(spark, url, f"{schema}.{name}", **{**options, **splits.get(table, {})})
+        source = f"{schema}.{name}" if schema else name
+        df = scan(spark, url, source, **{**options, **splits.get(table, {})})
         tables[table] = df.toDF(*[column.lower() for column in df.columns])
-    return Ledger(**tables)
+    return tables
+
+
+def scan_ledger(spark: SparkSession, url: str, names: Mapping[str, str] = LEDGER_TABLES, **options) -> Ledger:
+    return Ledger(**scan_tables(spark, url, names, **options))
+
+
+def scan_erp(spark: SparkSession, url: str, names: Mapping[str, str] = ERP_TABLES, **options) -> Erp:
+    return Erp(**scan_tables(spark, url, names, **options))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from contextlib import contextmanager
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -18,7 +19,7 @@ from tallyloom.plans.replicate import Replica
 from tallyloom.sources import standin
 from tallyloom.sources.jdbc import jdbc_options
 from tallyloom.sources.ledger import Ledger
-from tests.literal import ledger, line
+from tests.literal import erp, ledger, line
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -176,6 +177,33 @@ def test_hot_cost_center_is_split(spark):
         assert "skew=true" in physical(report)
 
 
+def test_missing_products_are_split(spark):
+    """A third of the invoice lines have no product; the left join must not gather them in one task."""
+    ids = spark.range(0, 60_000, numPartitions=8)
+    product = F.when(F.col("id") % 3 != 0, F.col("id"))
+    text = F.concat(F.md5(F.col("id").cast("string")), F.md5(F.col("id").cast("string")))
+    never = F.lit(None).cast("timestamp_ntz")
+    data = erp(spark)
+    data = replace(
+        data,
+        invoice_lines=ids.select(
+            "id", text.alias("name"), F.lit(1).cast("bigint").alias("partner_id"), product.alias("product_id"),
+            F.lit(1).cast("bigint").alias("invoice_id"), F.lit(1).cast("bigint").alias("company_id"),
+            F.lit(1).cast("decimal(18,2)").alias("price_subtotal_signed"), F.lit(1.0).alias("quantity"),
+            never.alias("write_date"),
+        ),
+        invoices=spark.range(1, 50_000).select("id", never.alias("date_invoice")),
+        product_variants=ids.select("id", F.col("id").alias("product_tmpl_id")),
+        product_templates=ids.select("id", F.lit("t").alias("name")),
+    )
+    with settings(spark, **SKEW):
+        report = replica.product_movements(data)
+        assert len(report.collect()) == 60_000
+        text = physical(report)
+    left_joins = [row for row in text.splitlines() if "LeftOuter" in row]
+    assert left_joins and any("skew=true" in row for row in left_joins)
+
+
 def test_hot_partition_is_written_as_several_files(spark, tmp_path):
     data = hot_voucher(spark)
     with settings(spark, **SKEW):

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.changes import changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
-from tallyloom.plans.replicate import Replica, replicate
+from tallyloom.plans import replica as reports
+from tallyloom.plans.replicate import Replica, replicate, replicated_erp
 from tallyloom.sources.cleaning import nan_to_null
+from tallyloom.sources.schemas import ERP_TABLES
 from tallyloom.streaming.changes import stream_changes
+from tests import literal
 
 DDL = "id BIGINT, name STRING, rate DOUBLE, write_date TIMESTAMP_NTZ"
 T0 = datetime(2024, 1, 1)
@@ -140,3 +143,18 @@ def test_stream_keeps_newer_rows_whatever_the_order(spark, tmp_path):
     assert content(replica.read("t")) == {1: "new", 2: "b", 3: "c"}
     run()
     assert content(replica.read("t")) == {1: "new", 2: "b", 3: "c"}
+
+
+def test_all_tables_are_replicated_and_reported_on(spark, tmp_path):
+    row = (1, 1, 1, 1, 7, literal.money(5), literal.money(0), literal.money(0), literal.JAN, literal.JAN)
+    data = literal.erp(spark, move_lines=[row])
+    sources = {
+        name: df if "write_date" in df.columns else df.withColumn("write_date", F.lit(day(1)).cast("timestamp_ntz"))
+        for name, df in ((ERP_TABLES[table], getattr(data, table)) for table in ERP_TABLES)
+        if name in ("account_move_line", "account_account", "res_company", "res_partner")
+    }
+    target = Replica(spark, str(tmp_path))
+    replicate(target, sources, Watermark(spark, str(tmp_path / "mark")))
+    names = {table: name for table, name in ERP_TABLES.items() if name in sources}
+    report = reports.company_account_balance(replicated_erp(target, names))
+    assert literal.rows(report) == literal.rows(reports.company_account_balance(data))

@@ -30,6 +30,20 @@ def test_a_new_run_replaces_the_snapshot(spark, store):
     assert rows(store.read("r")) == [(4,)]
 
 
+def test_storage_does_not_grow_with_runs(spark, store):
+    for n in range(4):
+        store.write("r", numbers(spark, n))
+        assert rows(store.read("r")) == [(n,)]
+    assert sorted(os.listdir(f"{store.root}/reports/r")) == ["a", "b"]
+
+
+def test_a_reader_outlives_the_next_run(spark, store):
+    store.write("r", numbers(spark, 1))
+    reading = store.read("r")
+    store.write("r", numbers(spark, 2))
+    assert rows(reading) == [(1,)]
+
+
 def test_a_failed_run_keeps_the_old_snapshot_and_is_logged(spark, store):
     store.write("r", numbers(spark, 1))
     with pytest.raises(Exception, match="broken"):
