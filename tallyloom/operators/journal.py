@@ -6,6 +6,8 @@ many reports stages the journal once and reads it back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,13 @@ def journal(ledger: Ledger) -> DataFrame:
     return ledger.lines.join(headers, keys)
 
 
+def narrowed(ledger: Ledger, narrow: Callable[[DataFrame], DataFrame]) -> Ledger:
+    """The ledger with its lines cut down before they meet their headers (or in the staged journal)."""
+    if ledger.journal is not None:
+        return ledger.with_tables(journal=narrow(ledger.journal))
+    return ledger.with_tables(lines=narrow(ledger.lines))
+
+
 def journal_lines(ledger: Ledger, *, posted_only: bool = False, **criteria) -> DataFrame:
     """Journal rows that meet the criteria, given per column (``pctcod=...``, ``cccod=...``)."""
     rows = journal(ledger)

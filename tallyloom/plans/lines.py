@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -12,14 +14,14 @@ from tallyloom.functions.criteria import any_of, differs_from, matches
 from tallyloom.functions.dates import month_of, year_of
 from tallyloom.functions.money import money, net_credit, net_debit, shown, without_vat
 from tallyloom.functions.text import tail_name
-from tallyloom.operators.journal import HEADER_MONTH, journal_lines, with_numbered_month, without_opening
-from tallyloom.operators.lookups import (
-    with_account,
-    with_center,
-    with_counterparty,
-    with_detail,
-    with_doc_type,
+from tallyloom.operators.journal import (
+    HEADER_MONTH,
+    journal_lines,
+    narrowed,
+    with_numbered_month,
+    without_opening,
 )
+from tallyloom.operators.lookups import look_up, with_account, with_center, with_detail, with_doc_type
 from tallyloom.operators.sorting import newest_first
 from tallyloom.operators.tagging import tag_groups
 from tallyloom.sources.ledger import Ledger
@@ -146,9 +148,22 @@ def exempt_expense_union(ledger: Ledger, *, accounts: list[Any]) -> DataFrame:
     ).distinct()
 
 
-def _documents(ledger: Ledger) -> DataFrame:
-    rows = without_opening(journal_lines(ledger, posted_only=True), ledger)
-    return with_counterparty(with_doc_type(rows, ledger), ledger)
+def _documents(ledger: Ledger, groups: Mapping[str, tuple[Any, Any]]) -> DataFrame:
+    """Posted lines of the tagged counterparties, outside the opening month.
+
+    Which group a document belongs to depends on its counterparty alone. The few chosen counterparties are therefore
+    tagged first and joined to the lines before the headers are, which leaves little to shuffle.
+    """
+    conditions = {}
+    for vessel, (codes, names) in groups.items():
+        parts = [
+            matches(F.col(column), spec) for column, spec in (("codaux", codes), ("nomaux", names)) if spec is not None
+        ]
+        conditions[vessel] = reduce(or_, parts)
+    chosen = tag_groups(ledger.counterparties, conditions, "vessel")
+    party = {"nomaux": "nomaux", "vessel": "vessel"}
+    few = narrowed(ledger, lambda rows: look_up(rows, chosen, {"codaux": "codaux"}, party, scope=ledger.scope))
+    return with_doc_type(without_opening(journal_lines(few, posted_only=True), ledger), ledger)
 
 
 def _document_columns(ledger: Ledger, vat_factor: float | None) -> list[Column | str]:
@@ -175,7 +190,7 @@ def _document_columns(ledger: Ledger, vat_factor: float | None) -> list[Column |
 
 def issued_documents(ledger: Ledger, *, vessel: str, counterparties: Any) -> DataFrame:
     """Documents issued to one group of counterparties, newest first."""
-    rows = _documents(ledger).where(matches(F.col("codaux"), counterparties)).withColumn("vessel", F.lit(vessel))
+    rows = _documents(ledger, {vessel: (counterparties, None)})
     return newest_first(rows.select(*_document_columns(ledger, None)), "movfe", ties=("numdoc", "codaux"))
 
 
@@ -184,17 +199,10 @@ def issued_documents_union(
 ) -> DataFrame:
     """Distinct union over tagged groups of counterparties, newest first, with the amount before tax.
 
-    A group is a pair of criteria, on the counterparty code and on its name; either may be None, and a document
-    belongs to every group one of whose criteria it meets.
+    A group is a pair of criteria, on the counterparty code and on its name; either may be None. A document belongs
+    to every group one of whose criteria it meets, and is listed once under each.
     """
-    conditions = {}
-    for vessel, (codes, names) in groups.items():
-        parts = [
-            matches(F.col(column), spec) for column, spec in (("codaux", codes), ("nomaux", names)) if spec is not None
-        ]
-        conditions[vessel] = parts[0] if len(parts) == 1 else parts[0] | parts[1]
-    rows = tag_groups(_documents(ledger), conditions, "vessel")
-    report = rows.select(*_document_columns(ledger, vat_factor)).distinct()
+    report = _documents(ledger, groups).select(*_document_columns(ledger, vat_factor)).distinct()
     return newest_first(report, "movfe", ties=("numdoc", "codaux", "vessel"))
 
 

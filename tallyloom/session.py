@@ -15,6 +15,8 @@ ADAPTIVE_SETTINGS = {
     # Split a hot voucher or counterparty even where that costs one more shuffle further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where every shuffled partition of one side is measured below this, hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
