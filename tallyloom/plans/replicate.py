@@ -16,7 +16,8 @@ from tallyloom.sources.cleaning import nan_to_null
 from tallyloom.sources.erp import Erp
 from tallyloom.sources.schemas import ERP_TABLES
 
-SLOT = "slot"
+SLOT, SIDE = "slot", "side"
+COMMITS = "slot INT, side INT, seq BIGINT"
 
 
 class Replica:
@@ -25,6 +26,10 @@ class Replica:
     A slot takes runs of ``slot_rows`` neighbouring ids. Source systems number rows upwards and mostly change recent
     ones, so a batch touches few slots, and a merge rewrites only those. Rows never pile up in one slot, because ids
     are unique and dealt out in turn.
+
+    Every slot has two sides. A merge writes the side that is not current and then commits the switch of all touched
+    slots in one small file, so a job that dies at any moment leaves the table as it was, and storage stays bounded.
+    Each table has one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, slots: int = 512, slot_rows: int = 1_000_000, key: str = "id"):
@@ -40,35 +45,59 @@ class Replica:
     def slot(self) -> Column:
         return F.pmod(F.floor(F.col(self.key) / F.lit(self.slot_rows)), F.lit(self.slots)).cast("int")
 
+    def _committed(self, table: str) -> tuple[dict[int, int], int]:
+        """Current side of every slot, at most ``slots`` entries, and the number of the last commit."""
+        try:
+            commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits/{table}")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return {}, 0
+            raise
+        rows = commits.groupBy(SLOT).agg(F.max_by(SIDE, "seq").alias(SIDE), F.max("seq").alias("seq")).collect()
+        return {row[SLOT]: row[SIDE] for row in rows}, max(row["seq"] for row in rows)
+
+    def _sides(self, table: str, sides: Mapping[int, int]) -> DataFrame:
+        """Rows of the given slot sides; the condition is on partition columns only, so nothing else is read."""
+        chosen = [
+            (F.col(SIDE) == side) & F.col(SLOT).isin([slot for slot, now in sides.items() if now == side])
+            for side in (0, 1)
+        ]
+        return self.spark.read.parquet(self.path(table)).where(chosen[0] | chosen[1]).drop(SIDE)
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table)).drop(SLOT)
+        sides, _ = self._committed(table)
+        if not sides:
+            raise LookupError(f"{table} has not been replicated yet")
+        return self._sides(table, sides).drop(SLOT)
 
     def merge(self, table: str, delta: DataFrame, ties: Sequence[str] = ()) -> None:
-        """Put the rows of ``delta`` into the table by key.
+        """Put the rows of ``delta`` into the table by key; repeating a merge changes nothing.
 
-        Rows of the touched slots are read, merged and written back as whole partitions. The old partitions are
-        replaced only when the job commits, so a lost executor or a failed job leaves the table readable, and
-        repeating a merge changes nothing.
+        Touched slots are read, merged and written as whole partitions, rebalanced so that a large slot becomes
+        several files.
         """
         delta = delta.withColumn(SLOT, self.slot())
         # At most ``slots`` small numbers, whatever the size of the batch.
         touched = [row[0] for row in delta.select(SLOT).distinct().collect()]
         if not touched:
             return
-        try:
-            base = self.spark.read.parquet(self.path(table)).where(F.col(SLOT).isin(touched))
-            merged = upsert_merge(base, delta, [self.key], ties=ties)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        sides, seq = self._committed(table)
+        existing = {slot: sides[slot] for slot in touched if slot in sides}
+        if existing:
+            merged = upsert_merge(self._sides(table, existing), delta, [self.key], ties=ties)
+        else:
             merged = latest_per_key(delta, [self.key], [WRITE_DATE, *ties])
+        switched = {slot: 1 - sides.get(slot, 1) for slot in touched}
         (
-            merged.hint("rebalance", SLOT)
+            merged.withColumn(SIDE, F.col(SLOT).isin([slot for slot, side in switched.items() if side]).cast("int"))
+            .hint("rebalance", SLOT, SIDE)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SLOT)
+            .partitionBy(SLOT, SIDE)
             .parquet(self.path(table))
         )
+        commit = self.spark.createDataFrame([(slot, side, seq + 1) for slot, side in switched.items()], COMMITS)
+        commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits/{table}")
 
 
 def replicated_erp(replica: Replica, names: Mapping[str, str] = ERP_TABLES) -> Erp:

@@ -81,9 +81,36 @@ def test_merge_rewrites_touched_slots_only(spark, tmp_path):
     # Ids 3 and 41 fall into the same slot, which also holds other ids.
     replica.merge("t", table(spark, (3, "b", day(2)), (41, "b", day(2)), (1000, "n", day(2))))
     assert content(replica.read("t")) == {**{i: "a" for i in range(60)}, 3: "b", 41: "b", 1000: "n"}
-    kept = [p for p in files if "slot=0" not in str(p)]
-    assert kept and all(p.exists() and p.stat().st_mtime_ns == files[p] for p in kept)
-    assert not any(p.exists() for p in files if "slot=0" in str(p))
+    assert all(p.exists() and p.stat().st_mtime_ns == files[p] for p in files)
+    written = {p.parent for p in (tmp_path / "tables" / "t").rglob("*.parquet") if p not in files}
+    assert {str(p.relative_to(tmp_path / "tables" / "t")) for p in written} == {"slot=0/side=1"}
+
+
+def test_storage_stays_bounded_and_the_newest_side_is_read(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path), slots=2, slot_rows=10)
+    for n in range(5):
+        replica.merge("t", table(spark, (1, f"v{n}", day(n)), (15, f"w{n}", day(n))))
+        assert content(replica.read("t")) == {1: f"v{n}", 15: f"w{n}"}
+    sides = {str(p.parent.relative_to(tmp_path / "tables" / "t")) for p in (tmp_path / "tables").rglob("*.parquet")}
+    assert sides == {f"slot={s}/side={d}" for s in (0, 1) for d in (0, 1)}
+
+
+def test_merge_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    replica = Replica(spark, str(tmp_path), slots=2, slot_rows=10)
+    replica.merge("t", table(spark, (1, "a", day(1)), (2, "b", day(1))))
+    delta = table(spark, (1, "X", day(2)))
+    with monkeypatch.context() as patched:
+        patched.setattr(spark, "createDataFrame", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            replica.merge("t", delta)
+    assert content(replica.read("t")) == {1: "a", 2: "b"}
+    replica.merge("t", delta)
+    assert content(replica.read("t")) == {1: "X", 2: "b"}
+
+
+def test_unknown_table(spark, tmp_path):
+    with pytest.raises(LookupError):
+        Replica(spark, str(tmp_path)).read("t")
 
 
 def test_negative_ids_and_empty_batches(spark, tmp_path):
