@@ -155,13 +155,14 @@ def _spent_vs_billed(
     shown = "coalesce(g.company, f.company) as company, " if company else ""
     grouped = "coalesce(g.company, f.company), " if company else ""
     scope = company or "''"
+    year, center = (key(name) if keyed else f"cast({key(name)} as varchar)" for name in ("ano", "cc"))
     return _sql(
         "lines headers centers details",
-        f"""select {shown}{key("mes")} as mes, {key("ano")} as ano,
+        f"""select {shown}{key("mes")} as mes, {year} as ano,
                    cast(coalesce(sum(g.amount), 0) as double) as gastos_afectos,
                    cast(coalesce(sum(f.amount), 0) as double) as facturado_neto,
                    cast(coalesce(sum(g.amount), 0) + coalesce(sum(f.amount), 0) as double) as gastos_por_facturar,
-                   {key("vessel")} as vessel, {key("cc")} as cc
+                   {key("vessel")} as vessel, {center} as cc
             from g full outer join f on f.company = g.company and f.ano = g.ano and f.mes = g.mes
                  and f.vessel = g.vessel and f.cc = g.cc
             group by {grouped}{key("ano")}, {key("mes")}, {key("vessel")}, {key("cc")}""",
@@ -366,7 +367,7 @@ ORACLE_SQL: dict[str, str] = {
     "product_movements": _sql(
         "invoices companies",
         f"""select line.partner_id as id, c_name as partner_name, count(line.id) as orders, tmpl.p_name as producto,
-                   tmpl.p_partkey as p_id, cast(sum(line.amount) as double) as monto, sum(line.quantity) as cantidad,
+                   cast(tmpl.p_partkey as varchar) as p_id, cast(sum(line.amount) as double) as monto, sum(line.quantity) as cantidad,
                    max(line.write_date) as last_order, line.company_id as company_id, k.name as company_name,
                    cast(extract(year from i.date_invoice) as int) as ano, line.name as producto_descripcion
             from (select l_orderkey * 10 + l_linenumber as id, cast(floor(l_orderkey / 10) as bigint) as partner_id,

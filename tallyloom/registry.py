@@ -58,6 +58,11 @@ def _erp(report: Callable[..., DataFrame], **params) -> Query:
     return lambda spark, folder: report(standin.erp(tune(spark), folder), **params)
 
 
+def _as_text(query: Query, *columns: str) -> Query:
+    """Integer columns that may be NULL as text, because readers of results disagree on how to show such integers."""
+    return lambda spark, folder: query(spark, folder).withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 def _run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/tallyloom/{uuid4().hex}"
 
@@ -96,12 +101,14 @@ LEDGER_REPORTS: dict[str, Query] = {
     "current_account_balance_all": _ledger(
         balances.voucher_balance, accounts=one_of("1-1-00", "2-2-01", "3-3-02", "4-1-03")
     ),
-    "spent_vs_billed": _ledger(balances.spent_vs_billed, spent=SPENT, billed=BILLED, centers=CENTERS),
+    "spent_vs_billed": _as_text(
+        _ledger(balances.spent_vs_billed, spent=SPENT, billed=BILLED, centers=CENTERS), "ano", "cc"
+    ),
     "spent_vs_billed_keyed": _ledger(
         balances.spent_vs_billed, spent=SPENT, billed=BILLED, centers=CENTERS, keyed=True
     ),
-    "spent_vs_billed_outer_join": _ledger(
-        balances.spent_vs_billed, spent=SPENT, billed=BILLED, centers=CENTERS, single_pass=False
+    "spent_vs_billed_outer_join": _as_text(
+        _ledger(balances.spent_vs_billed, spent=SPENT, billed=BILLED, centers=CENTERS, single_pass=False), "ano", "cc"
     ),
     "exempt_expense_union": _ledger(lines.exempt_expense_union, accounts=["1-1-00", "4-1-03"]),
     "import_costs": _ledger(
@@ -144,11 +151,15 @@ LEDGER_REPORTS: dict[str, Query] = {
         lines.payroll_lines,
         details=by_company({"CO0": PAYROLL, "CO1": starts_with("NATION_2"), "CO3": one_of("NATION_7")}),
     ),
-    "multi_company_spent_vs_billed": _companies(
-        balances.spent_vs_billed,
-        spent=by_company({"CO0": "1-1-00", "CO1": "2-2-01", "CO2": "4-1-03"}),
-        billed=BILLED,
-        centers=CENTERS,
+    "multi_company_spent_vs_billed": _as_text(
+        _companies(
+            balances.spent_vs_billed,
+            spent=by_company({"CO0": "1-1-00", "CO1": "2-2-01", "CO2": "4-1-03"}),
+            billed=BILLED,
+            centers=CENTERS,
+        ),
+        "ano",
+        "cc",
     ),
 }
 
@@ -159,7 +170,7 @@ ERP_REPORTS: dict[str, Query] = {
     "supplier_bills_partner": _erp(
         replica.supplier_bills, kind="F", partner_id=one_of(14, 55, 145), cancelled_state="5-LOW"
     ),
-    "product_movements": _erp(replica.product_movements),
+    "product_movements": _as_text(_erp(replica.product_movements), "p_id"),
     "company_account_balance": _erp(replica.company_account_balance),
     "company_account_month": _erp(replica.company_account_month),
     "income_statement_year": _erp(replica.income_statement_year, year=1999),
