@@ -367,8 +367,9 @@ ORACLE_SQL: dict[str, str] = {
     "product_movements": _sql(
         "invoices companies",
         f"""select line.partner_id as id, c_name as partner_name, count(line.id) as orders, tmpl.p_name as producto,
-                   cast(tmpl.p_partkey as varchar) as p_id, cast(sum(line.amount) as double) as monto, sum(line.quantity) as cantidad,
-                   max(line.write_date) as last_order, line.company_id as company_id, k.name as company_name,
+                   cast(tmpl.p_partkey as varchar) as p_id, cast(sum(line.amount) as double) as monto,
+                   sum(line.quantity) as cantidad, max(line.write_date) as last_order,
+                   line.company_id as company_id, k.name as company_name,
                    cast(extract(year from i.date_invoice) as int) as ano, line.name as producto_descripcion
             from (select l_orderkey * 10 + l_linenumber as id, cast(floor(l_orderkey / 10) as bigint) as partner_id,
                          case when l_linenumber <> 7 then l_partkey end as product_id, l_orderkey as invoice_id,
@@ -408,6 +409,7 @@ ORACLE_SQL: dict[str, str] = {
     "account_scan": "select p_partkey as id, p_brand as code, p_type as name from part",
     "staged_journal_balance": _month_balance(),
     "cleaned_ledger_balance": _month_balance(),
+    "staged_ledger_detail": _expense_detail(),
     "snapshot_full_refresh": _month_balance(),
     "nan_cleanup": """
         select l_orderkey, l_linenumber, l_quantity, case when l_tax <> 0 then l_tax end as l_tax from lineitem""",

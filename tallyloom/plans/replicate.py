@@ -116,7 +116,8 @@ def replicate(
 
     The new cutoff is taken before anything is read, so rows written meanwhile come again next time, which the merge
     makes harmless. Changes are first landed as files: the merge then works on a fixed batch and never asks the
-    source twice; the next run replaces them. If any table fails, the error goes to the caller and the watermark stays, so the next run repeats.
+    source twice; the next run replaces them. If any table fails, the error goes to the caller and the watermark
+    stays, so the next run repeats.
     Rows deleted in the source are not seen, because only write dates are read.
     """
     cutoff = now or utc_now()

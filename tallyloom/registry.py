@@ -31,7 +31,8 @@ from tallyloom.plans.jobs import ReportCall, run_job
 from tallyloom.plans.replicate import Replica, replicate
 from tallyloom.session import shared_folder, tune
 from tallyloom.sources import standin
-from tallyloom.sources.cleaning import clean_ledger, nan_to_null
+from tallyloom.sources.cleaning import clean_ledger, nan_to_null, stage_ledger
+from tallyloom.sources.ledger import Ledger
 from tallyloom.sources.newest import load_newest
 from tallyloom.streaming.changes import stream_changes
 
@@ -209,6 +210,15 @@ def cleaned_ledger_balance(spark: SparkSession, folder: str) -> DataFrame:
     return balances.account_month_balance(clean_ledger(raw))
 
 
+def staged_ledger_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Expense detail over tables that were cleaned and written beforehand."""
+    source = standin.ledger(tune(spark), folder)
+    needed = ("lines", "headers", "centers", "details", "accounts")
+    tables = {name: getattr(source, name) for name in needed}
+    staged = stage_ledger(Ledger(**tables, posted_state=source.posted_state), f"{_run_folder(spark)}/tables")
+    return lines.expense_detail(staged)
+
+
 def nan_cleanup(spark: SparkSession, folder: str) -> DataFrame:
     """NaN where a line has no tax, turned into NULL."""
     items = standin.table(tune(spark), folder, "lineitem").select(
@@ -223,8 +233,11 @@ def nan_cleanup(spark: SparkSession, folder: str) -> DataFrame:
 def run_log_latest(spark: SparkSession, folder: str) -> DataFrame:
     """Latest entry per report, with the events as a log and the user as the report."""
     events = standin.table(tune(spark), folder, "events").select(
-        F.col("user_id").alias("report"), F.col("ts").alias("started_at"), "event_id", F.col("event_type").alias("status")
-    )
+        F.col("user_id").alias("report"),
+        F.col("ts").alias("started_at"),
+        "event_id",
+        F.col("event_type").alias("status"),
+    )
     return latest_runs(events, newest=("started_at", "event_id"))
 
 
@@ -344,6 +357,7 @@ OPERATORS: dict[str, Query] = {
     "account_scan": account_scan,
     "staged_journal_balance": staged_journal_balance,
     "cleaned_ledger_balance": cleaned_ledger_balance,
+    "staged_ledger_detail": staged_ledger_detail,
     "nan_cleanup": nan_cleanup,
     "run_log_latest": run_log_latest,
     "incremental_extract": incremental_extract,

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.money import MONEY
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import LEDGER_COLUMNS
+from tallyloom.sources.schemas import LEDGER_COLUMNS, LEDGER_TABLES
 
 # Columns where a trailing blank is text, not padding.
 DESCRIPTIONS = {"desccc", "desdet", "pcdesc", "desdoc", "nomaux", "movglosa", "desprod", "valor"}
@@ -40,6 +40,29 @@ def clean_ledger(raw: Ledger) -> Ledger:
     )
 
 
+def stage_ledger(raw: Ledger, root: str) -> Ledger:
+    """Clean every table and write it once, so that reports read files instead of asking the database each time.
+
+    Lines and headers are written by year and rebalanced, which splits a year that holds most of the rows.
+    """
+    cleaned = {name: df for name, df in clean_ledger(raw).tables().items() if name in LEDGER_TABLES}
+    for name, df in cleaned.items():
+        if name in ("lines", "headers"):
+            writer = df.hint("rebalance", "cpbano").write.partitionBy("cpbano")
+        else:
+            writer = df.write
+        writer.mode("overwrite").parquet(f"{root}/{LEDGER_TABLES[name]}")
+    spark = next(iter(cleaned.values())).sparkSession
+    return Ledger.read(
+        spark,
+        root,
+        {name: LEDGER_TABLES[name] for name in cleaned},
+        posted_state=raw.posted_state,
+        opening_month=raw.opening_month,
+        scope=raw.scope,
+    )
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN in floating-point columns becomes NULL; every other value stays."""
     floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -151,10 +151,10 @@ def company_ledger(spark: SparkSession, folder: str) -> Ledger:
 
 
 def invoices(orders: DataFrame) -> DataFrame:
+    named = F.col("o_orderpriority") != "4-NOT SPECIFIED"
     return orders.select(
         F.col("o_orderkey").alias("id"),
-        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.concat(F.lit("DOC/"), F.col("o_orderkey").cast("string")))
-        .alias("name"),
+        F.when(named, F.concat(F.lit("DOC/"), F.col("o_orderkey"))).alias("name"),
         F.col("o_orderstatus").alias("type"),
         F.col("o_orderpriority").alias("state"),
         F.col("o_orderdate").alias("date"),
@@ -163,7 +163,7 @@ def invoices(orders: DataFrame) -> DataFrame:
         (F.col("o_orderkey") % 26).alias("company_id"),
         F.when(F.col("o_custkey") % 3 == 0, _zero()).otherwise(money("o_totalprice")).alias("residual_company_signed"),
         F.col("o_orderdate").alias("write_date"),
-    )
+    )
 
 
 @lru_cache(maxsize=8)

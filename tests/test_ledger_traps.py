@@ -9,7 +9,7 @@ from tallyloom.functions.criteria import by_company, contains, excluding, more_t
 from tallyloom.functions.text import period_month, period_year, tail_name
 from tallyloom.operators.journal import stage_journal
 from tallyloom.plans import balances, lines, sales
-from tallyloom.sources.cleaning import clean_ledger
+from tallyloom.sources.cleaning import clean_ledger, stage_ledger
 from tallyloom.sources.ledger import Ledger
 from tests.literal import JAN, MAR, frame, header, ledger, line, money, rows
 
@@ -232,6 +232,13 @@ def test_padded_codes_and_text_years_are_cleaned(spark):
     assert rows(cleaned.centers.where("codicc = '01-11'"), "desccc") == [("CC 11 ABCD   ",)]
 
 
+def test_staged_tables_keep_companies_and_odd_years(spark, tmp_path):
+    a = ledger(spark, [line(debe=1), line(cpbano=None, debe=2)])
+    staged = stage_ledger(Ledger.combine({"001": a, "002": a}), str(tmp_path / "tables"))
+    assert staged.lines.where("cpbano is null").count() == 2
+    assert rows(lines.expense_detail(staged), "company", "gastos") == [("001", 1.0), ("002", 1.0)]
+
+
 def test_companies_do_not_mix(spark):
     a = ledger(spark, [line("1", debe=1), line("2", debe=2)], [header("1"), header("2", est="P")])
     b = ledger(spark, [line("2", debe=4)], [header("2")])

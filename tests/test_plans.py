@@ -124,7 +124,8 @@ def hot_voucher(spark, count=60_000):
     key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
     base = ledger(spark)
     ids = spark.range(0, count, numPartitions=8).withColumn("key", key)
-    key_columns = [F.lit(2020).alias("cpbano"), F.col("key").cast("string").alias("cpbnum"), F.lit("A").alias("areacod")]
+    number = F.col("key").cast("string").alias("cpbnum")
+    key_columns = [F.lit(2020).alias("cpbano"), number, F.lit("A").alias("areacod")]
     wide = F.repeat(F.md5(F.col("id").cast("string")), 4)
     journal_lines = ids.select(
         *key_columns, F.lit("01").alias("cpbmes"), F.lit("5-1").alias("pctcod"), F.lit("01-11").alias("cccod"),

@@ -49,7 +49,13 @@ def test_delta_applied_twice_changes_nothing(spark):
 
 @pytest.mark.parametrize(
     "old, new, winner",
-    [(day(2), day(1), "old"), (day(1), day(1), "new"), (None, day(1), "new"), (day(1), None, "old"), (None, None, "new")],
+    [
+        (day(2), day(1), "old"),
+        (day(1), day(1), "new"),
+        (None, day(1), "new"),
+        (day(1), None, "old"),
+        (None, None, "new"),
+    ],
 )
 def test_newer_write_date_wins_and_ties_go_to_the_delta(spark, old, new, winner):
     merged = upsert_merge(table(spark, (1, "old", old)), table(spark, (1, "new", new)), ["id"])
