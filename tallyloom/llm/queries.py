@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, lines, mixing, urls
+from tallyloom.llm import chat, contamination, html, langid, lines, mixing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,21 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = contamination.find_contamination(docs, table(spark, folder, "benchmark"))
+    n_hit = contamination.n_hit(F.col("hit_spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+        "longest_match",
+    )
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rendered = chat.rotate_perspectives(table(spark, folder, "conversations"))
     return rendered.withColumns(
@@ -46,11 +61,30 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    extracted = html.extract_text(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return extracted.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, urls.RULES)
     return urls.match_rules(table(spark, folder, "pages"), rules, keep=["page_id"])
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    return langid.fit(docs.where(~held_out()))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
 OP1_SQL = f"""
 with size as (
     select coalesce(source, '') as s, sum(coalesce(length(text), 0))::double as size from documents group by 1
@@ -118,9 +152,12 @@ select page_id, s.host, s.path, b.rule, coalesce(b.verdict, 'allow') as verdict
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_decontaminate": op3_decontaminate,
     "op5_chat_format": op5_chat_format,
     "op6_line_dedup": op6_line_dedup,
+    "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
+    "op10_language_id": op10_language_id,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
