@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, html, langid, lines, mixing, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, langid, lines, mixing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,26 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.match_rules(table(spark, folder, "pages"), rules, keep=["page_id"])
 
 
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    marked = fingerprints.with_fingerprint(docs, F.col("text"), "print")
+    paired = fingerprints.with_next(marked, "doc_id", ["text", "print"])
+    n_chars = F.length("text")
+    moved = F.floor(n_chars / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n_chars - moved), F.substring(F.col("next_text"), F.lit(1), moved))
+    changed = paired.withColumn("edited", edited).withColumn("n_chars", n_chars.cast("long")).drop("text", "next_text")
+    both = fingerprints.with_fingerprint(changed, F.col("edited"), "edited_print")
+    return both.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("print")).alias("fingerprint"),
+        fingerprints.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        fingerprints.likeness(F.col("print"), F.col("next_print")).alias("near_next"),
+    )
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
@@ -157,6 +177,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_html_text": op7_html_text,
     "op8_url_filter": op8_url_filter,
+    "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
