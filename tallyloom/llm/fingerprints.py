@@ -27,11 +27,19 @@ def packed(hashed: Column, position: Column) -> Column:
     return F.shiftleft(F.shiftright(hashed, POSITION_BITS), POSITION_BITS).bitwiseOR(F.pmod(position, F.lit(POSITIONS)).cast("long"))
 
 
+def position(x: Column) -> Column:
+    return x.bitwiseAND(F.lit(POSITIONS - 1))
+
+
+def differs(values: Column, x: Column, i: Column, back: int, bits: int) -> Column:
+    """Whether ``x`` at index ``i`` has other bits from ``bits`` up than the value ``back`` places before it, or there is none."""
+    return F.coalesce(F.shiftright(x.bitwiseXOR(F.get(values, i - back)), bits) != 0, F.lit(True))
+
+
 def group_starts(values: Column, bits: int) -> Column:
     """The indexes, from 0, at which a sorted array of integers begins a new value of the bits from ``bits`` up."""
-    upper = lambda i: F.shiftright(F.get(values, i), bits)
     indexes = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)))
-    starts = F.filter(indexes, lambda i: (i == 0) | (upper(i) != upper(i - 1)))
+    starts = F.filter(indexes, lambda i: differs(values, F.get(values, i), i, 1, bits))
     return F.when(F.size(values) > 0, starts).otherwise(F.array().cast("array<int>"))
 
 
@@ -46,49 +54,56 @@ def with_fingerprint(
     if slots < 2 or slots & (slots - 1):
         raise ValueError("the number of slots must be a power of 2")
     slot_bits = 64 - (slots - 1).bit_length()
-    words, kmers, numbered, order, starts = (f"__{name}_{x}" for x in ("words", "kmers", "numbered", "order", "starts"))
+    words, kmers, repeats, starts, numbered, chosen, order = (
+        f"__{name}_{x}" for x in ("words", "kmers", "repeats", "starts", "numbered", "chosen", "order")
+    )
+    none = F.array().cast("array<bigint>")
     found = docs.withColumn(words, F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != ""))
-    word = lambda i: F.get(F.col(words), i)
     n = F.size(words)
     each = F.transform(
         F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))),
-        lambda i: packed(F.xxhash64(F.lit(seed), *[word(i + j) for j in range(k)]), i),
+        lambda i: packed(F.xxhash64(F.lit(seed), *[F.get(F.col(words), i + j) for j in range(k)]), i),
+    )
+    found = found.withColumn(kmers, F.when(n > 0, F.sort_array(each)).otherwise(none))
+    # Equal k-mers now stand side by side in the order of the text: those after the first are numbered by their place.
+    again = F.filter(F.col(kmers), lambda x, i: ~differs(F.col(kmers), x, i, 1, POSITION_BITS))
+    found = found.withColumn(repeats, again)
+    found = found.withColumn(starts, group_starts(F.col(repeats), POSITION_BITS))
+
+    def numbered_hash(x: Column, occurrence: Column) -> Column:
+        return packed(F.xxhash64(F.shiftright(x, POSITION_BITS), occurrence), position(x))
+
+    firsts = F.transform(
+        F.filter(F.col(kmers), lambda x, i: differs(F.col(kmers), x, i, 1, POSITION_BITS)),
+        lambda x: numbered_hash(x, F.lit(0)),
     )
-    found = found.withColumn(kmers, F.when(n > 0, F.sort_array(each)).otherwise(F.array().cast("array<bigint>")))
-    # Equal k-mers now stand side by side in the order of the text, so a k-mer's place in its group is its occurrence.
-    found = found.withColumn(starts, group_starts(F.col(kmers), POSITION_BITS))
-    count = F.size(starts)
-    position = lambda x: x.bitwiseAND(F.lit(POSITIONS - 1))
-    number = F.flatten(
+    later = F.flatten(
         F.transform(
             F.col(starts),
             lambda start, g: F.transform(
-                F.slice(
-                    F.col(kmers),
-                    start + 1,
-                    F.coalesce(F.get(F.col(starts), g + 1), F.size(kmers)) - start,
-                ),
-                lambda x, occurrence: packed(F.xxhash64(F.shiftright(x, POSITION_BITS), occurrence), position(x)),
+                F.slice(F.col(repeats), start + 1, F.coalesce(F.get(F.col(starts), g + 1), F.size(repeats)) - start),
+                lambda x, i: numbered_hash(x, i + 1),
             ),
         )
     )
+    found = found.withColumn(numbered, F.sort_array(F.concat(firsts, later)))
+    # The top bits of the hash are the slot: each slot is a stretch of the sorted array and begins with its smallest.
     found = found.withColumn(
-        numbered, F.when(count > 0, F.sort_array(number)).otherwise(F.array().cast("array<bigint>"))
+        chosen, F.filter(F.col(numbered), lambda x, i: differs(F.col(numbered), x, i, minimal, slot_bits))
     )
-    # The top bits of the hash are the slot: each slot is a stretch of the sorted array and begins with its smallest.
-    found = found.withColumn(order, group_starts(F.col(numbered), slot_bits))
+    found = found.withColumn(order, group_starts(F.col(chosen), slot_bits))
 
     def tuple_hash(start: Column, g: Column) -> Column:
-        size = F.least(F.coalesce(F.get(F.col(order), g + 1), F.size(numbered)) - start, F.lit(minimal))
-        chosen = F.sort_array(
+        size = F.coalesce(F.get(F.col(order), g + 1), F.size(chosen)) - start
+        in_text = F.sort_array(
             F.transform(
-                F.slice(F.col(numbered), start + 1, size),
+                F.slice(F.col(chosen), start + 1, size),
                 lambda x: F.struct(position(x).alias("at"), F.shiftright(x, POSITION_BITS).alias("hash")),
             )
         )
         return F.struct(
-            F.shiftright(F.get(F.col(numbered), start), slot_bits).cast("int").alias("slot"),
-            F.pmod(F.xxhash64(F.transform(chosen, lambda c: c["hash"])), F.lit(1 << 31)).cast("int").alias("hash"),
+            F.shiftright(F.get(F.col(chosen), start), slot_bits).cast("int").alias("slot"),
+            F.pmod(F.xxhash64(F.transform(in_text, lambda c: c["hash"])), F.lit(1 << 31)).cast("int").alias("hash"),
         )
 
     by_slot = F.map_from_entries(F.transform(F.col(order), tuple_hash))
@@ -97,7 +112,7 @@ def with_fingerprint(
     signature = F.transform(
         F.array(by_slot), lambda taken: F.transform(every, lambda s: F.coalesce(F.element_at(taken, s), F.lit(EMPTY)))
     )
-    return found.withColumn(name, F.get(signature, F.lit(0))).drop(words, kmers, numbered, order, starts)
+    return found.withColumn(name, F.get(signature, F.lit(0))).drop(words, kmers, repeats, starts, numbered, chosen, order)
 
 
 def likeness(left: Column, right: Column) -> Column:
