@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, fingerprints, html, langid, lines, mixing, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rendered = chat.rotate_perspectives(table(spark, folder, "conversations"))
     return rendered.withColumns(
@@ -173,6 +177,7 @@ select page_id, s.host, s.path, b.rule, coalesce(b.verdict, 'allow') as verdict
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_decontaminate": op3_decontaminate,
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_chat_format": op5_chat_format,
     "op6_line_dedup": op6_line_dedup,
     "op7_html_text": op7_html_text,
