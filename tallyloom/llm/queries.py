@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,17 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.cut_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = contamination.find_contamination(docs, table(spark, folder, "benchmark"))
@@ -176,6 +187,7 @@ select page_id, s.host, s.path, b.rule, coalesce(b.verdict, 'allow') as verdict
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_chat_format": op5_chat_format,
