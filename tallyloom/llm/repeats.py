@@ -109,7 +109,8 @@ class Stretches:
     def parts(self) -> list[tuple[int, int, int]]:
         """Each bucket with the range of its entries."""
         starts = np.flatnonzero(np.diff(self.bucket, prepend=-1))
-        return [(int(self.bucket[a]), int(a), int(b)) for a, b in zip(starts, np.append(starts[1:], len(self.bucket)), strict=True)]
+        ends = np.append(starts, len(self.bucket))[1:]
+        return [(int(self.bucket[a]), int(a), int(b)) for a, b in zip(starts, ends, strict=True)]
 
 
 def squeeze(numbers: np.ndarray) -> bytes:
