@@ -60,8 +60,8 @@ WORD_ODDS = {
     ),
     "header": -8.0, "article": 3.0, "content": 2.0, "main": 3.0, "post": 2.0, "entry": 2.0, "story": 2.0, "body": 1.0, "text": 1.0,
 }
-BIAS, PER_CHAR, MOST_CHARS, PER_LINK, SENTENCE, HEADING = -1.5, 0.012, 250, -5.0, 1.0, 1.0
-ADJACENT, SIBLING = 0.8, 0.6
+BIAS, PER_CHAR, MOST_CHARS, PER_LINK, SENTENCE, HEADING = -0.5, 0.012, 250, -5.0, 1.0, 1.0
+ADJACENT, APART, SIBLING = 1.2, 0.3, 0.6
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>?")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -96,9 +96,9 @@ def own_odds(tag: str, attributes: str, in_article: bool) -> float:
     return odds
 
 
-def blocks_of(html: str) -> list[tuple[str, float, int]]:
-    """Text, log-odds and parent's number of each block in page order; blocks without text are left out."""
-    found: list[tuple[str, float, int]] = []
+def blocks_of(html: str) -> list[tuple[str, float, tuple[int, int]]]:
+    """Text, log-odds and the numbers of parent and grandparent of each block in page order; blocks without text are left out."""
+    found: list[tuple[str, float, tuple[int, int]]] = []
     stack = [Node("", 0.0, False, False, 0)]
     pieces: list[str] = []
     linked = 0
@@ -116,7 +116,7 @@ def blocks_of(html: str) -> list[tuple[str, float, int]]:
                 odds = node.odds + BIAS + PER_CHAR * min(len(text), MOST_CHARS) + PER_LINK * min(1.0, linked / len(text))
                 odds += SENTENCE * (text[-1] in ".!?…:;\"'”»)") + HEADING * (stack[i].tag in HEADINGS)
                 # Blocks of one container are siblings: the number is that of the element around the block's own.
-                found.append((text, odds, stack[max(i - 1, 0)].number))
+                found.append((text, odds, (stack[max(i - 1, 0)].number, stack[max(i - 2, 0)].number)))
             pieces.clear()
         linked = 0
 
@@ -208,11 +208,15 @@ def blocks_of(html: str) -> list[tuple[str, float, int]]:
     return found
 
 
-def smoothness(parents: list[int]) -> list[tuple[int, int, float]]:
-    """Edges between neighbours in page order and between each block and the one before it under the same parent."""
-    edges = [(i - 1, i, ADJACENT) for i in range(1, len(parents))]
+def smoothness(places: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """Edges between neighbours in page order, weaker ones if their parents are neither one nor parent and child, and between
+    each block and the one before it under the same parent."""
+    edges = []
+    for i in range(1, len(places)):
+        (a, above_a), (b, above_b) = places[i - 1], places[i]
+        edges.append((i - 1, i, ADJACENT if a == b or above_a == b or a == above_b else APART))
     before: dict[int, int] = {}
-    for i, parent in enumerate(parents):
+    for i, (parent, _) in enumerate(places):
         if parent in before:
             edges.append((before[parent], i, SIBLING))
         before[parent] = i

@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from tallyloom.llm import queries
+from tests.llm import brute
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_registered():
+    names = set(driver.queries())
+    assert {"pipeline", *queries.LLM_QUERIES} <= names
+    assert [n for n in range(1, 11) if not any(x.startswith(f"op{n}_") for x in names)] == []
+    assert set(driver.oracle_sql()) <= names
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").cache()
+    results = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        results.append(stage(spark, results[-1], SMALL).cache())
+    yield results
+    for frame in results:
+        frame.unpersist()
+
+
+def texts(frame):
+    return {r.doc_id: r.text for r in frame.select("doc_id", "text").collect()}
+
+
+def test_each_stage_does_its_whole_job(stages):
+    docs, known, lined, single, clean, mixed = stages
+    for frame in stages[:-1]:
+        assert frame.columns == docs.columns and frame.schema == docs.schema
+    start = texts(docs)
+    assert {d for d in start if any(c.isalpha() for c in start[d] or "")} - set(texts(known)) == set()
+    before, after = texts(known), texts(lined)
+    keys = lambda t: [brute.lower(x.strip(" \t\n\x0b\x0c\r")) for x in (t or "").split("\n")]
+    holders: dict[str, set[int]] = {}
+    for d, t in before.items():
+        for key in keys(t):
+            holders.setdefault(key, set()).add(d)
+    gone = {k: max(h) for k, h in holders.items() if len(k) >= 40 and len(h) >= 5}
+    for d, t in before.items():
+        kept = [x for x, k in zip((t or "").split("\n"), keys(t), strict=True) if gone.get(k, d) == d]
+        assert after[d] == "\n".join(kept)
+    assert set(texts(single)) == {d for d, (_, c) in brute.components(list(after.items())).items() if c == d}
+    items = duckdb.connect().execute(f"select item_id, text from '{SMALL}/benchmark.parquet'").fetchall()
+    left = texts(single)
+    assert set(texts(clean)) == {d for d, t in left.items() if not brute.contamination(t, items)[1]}
+    rows = mixed.collect()
+    assert Counter(r.doc_id for r in rows) == {r.doc_id: r.n_copies for r in rows}
+    assert {r.doc_id for r in rows} <= set(texts(clean)) and len(rows) > 50
+
+
+def test_run_equals_the_stages(spark, stages):
+    key = lambda r: (r.doc_id, r.copy, r.text, r.shuffle_key)
+    assert sorted(map(key, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(key, stages[-1].collect()))
