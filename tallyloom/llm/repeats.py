@@ -76,6 +76,7 @@ class Stretches:
         if window > width:
             least = np.minimum(least[: len(least) - (window - width)], least[window - width :])
         anchor = (least & ((U64(1) << bits) - U64(1))).astype(np.int64)
+        del least, at
         # A string lies inside one document, whose id is known.
         cut = np.zeros(n + 1, np.int64)
         np.add.at(cut, np.maximum(offsets[1:] - length + 1, offsets[:-1]), 1)
@@ -288,7 +289,7 @@ def cut_repeats(
     names = [c for c in docs.columns if c not in (text, "n_bytes", "spans", "kept")]
     total = docs.agg(F.sum(F.octet_length(text))).head()[0] or 0
     # Both grow with the square root of the input, so that what a pack sends to a bucket doesn't become ever smaller.
-    bucket_bytes = bucket_bytes or int(min(256 << 20, max(8 << 20, (8 << 20) * math.sqrt(total / (1 << 30)))))
+    bucket_bytes = bucket_bytes or int(min(256 << 20, max(4 << 20, (4 << 20) * math.sqrt(total / (1 << 30)))))
     pack_bytes = pack_bytes or bucket_bytes // 4
     buckets = max(1, math.ceil(ENTRY_BYTES * total / bucket_bytes))
     packs = max(1, math.ceil(total / pack_bytes))
