@@ -7,10 +7,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.dates import wall_clock
 
 WRITE_DATE = "write_date"
+UNORDERED = (T.MapType, T.VariantType)
 
 
 def changed_rows(table: DataFrame, cutoff: datetime | str | None, column: str = WRITE_DATE) -> DataFrame:
@@ -21,11 +23,13 @@ def changed_rows(table: DataFrame, cutoff: datetime | str | None, column: str =
 
 
 def latest_per_key(rows: DataFrame, keys: Sequence[str], newest: Sequence[str | Column]) -> DataFrame:
-    """The newest row of each key.
+    """The newest row of each key. Rows that are equal there are settled by all their other columns, so the same rows
+    give the same result however they are partitioned.
 
     A key with very many versions is cut to one row per map task before the shuffle (group limit on row_number).
     """
-    order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in newest]
+    rest = [f.name for f in rows.schema.fields if f.name not in {*keys, *newest} and not isinstance(f.dataType, UNORDERED)]
+    order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in [*newest, *rest]]
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
@@ -41,11 +45,14 @@ def upsert_merge(
 
     ``base`` holds each key once. Only the delta is reduced to its newest versions; the two are then joined on the
     key, one shuffle with at most one row per key and side, rather than ranking the union of both. Applying the same
-    delta twice, or an older one after a newer one, changes nothing.
+    delta twice, or an older one after a newer one, changes nothing. A column that only one of them has is NULL in the
+    rows of the other.
     """
-    if set(base.columns) != set(delta.columns):
-        raise ValueError(f"columns differ: {sorted(set(base.columns) ^ set(delta.columns))}")
-    columns = base.columns
+    columns = [*base.columns, *(c for c in delta.columns if c not in base.columns)]
+    base, delta = (
+        df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns])
+        for df, other in ((base, delta), (delta, base))
+    )
     newest = latest_per_key(delta, keys, [write_date, *ties])
     old = base.select(*keys, F.struct(*columns).alias("old"))
     new = newest.select(*keys, F.struct(*columns).alias("new"))

@@ -2,102 +2,203 @@
 
 from __future__ import annotations
 
+import json
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.functions.dates import utc_now
 from tallyloom.operators.changes import WRITE_DATE, changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
+from tallyloom.session import remove_folder
 from tallyloom.sources.cleaning import nan_to_null
 from tallyloom.sources.erp import Erp
 from tallyloom.sources.schemas import ERP_TABLES
 
-SLOT, SIDE = "slot", "side"
-COMMITS = "slot INT, side INT, seq BIGINT"
+SLOT, VERSION = "slot", "version"
+COMMITS = "slot BIGINT, version STRING, replaced STRING, schema STRING, seq BIGINT"
+LAYOUT = "key STRING, slot_rows BIGINT"
+SLOT_ROWS = 1_000_000
+# Up to so many slots are named in a filter; more are found by a join with the table of commits.
+FEW_SLOTS = 1_000
+# Every so many commits one states all slots, and those before it go.
+FOLD_EVERY = 20
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer has committed meanwhile; the merge that raises this has changed nothing and may be repeated."""
 
 
 class Replica:
-    """Replicated tables as parquet under ``root``, each split into a fixed number of slots by ``id``.
+    """Replicated tables as parquet under ``root``, each split into slots of ``slot_rows`` neighbouring ids.
+
+    Slots are as many as the ids need, so each stays as small as the first. Source systems number rows upwards and
+    mostly change recent ones, so a batch touches few slots, and a merge rewrites only those.
 
-    A slot takes runs of ``slot_rows`` neighbouring ids. Source systems number rows upwards and mostly change recent
-    ones, so a batch touches few slots, and a merge rewrites only those. Rows never pile up in one slot, because ids
-    are unique and dealt out in turn.
+    A merge writes a new version of each touched slot into a folder of its own and then commits all of them in one
+    numbered file. A job that dies at any moment leaves the table as it was. Of two writers that start from the same
+    commit the second fails. The version before the current one stays for readers; older ones are removed.
 
-    Every slot has two sides. A merge writes the side that is not current and then commits the switch of all touched
-    slots in one small file, so a job that dies at any moment leaves the table as it was, and storage stays bounded.
-    Each table has one writer at a time.
+    Key and ``slot_rows`` are kept with the table. Opening it without ``slot_rows`` follows them, another value is refused.
     """
 
-    def __init__(self, spark: SparkSession, root: str, slots: int = 512, slot_rows: int = 1_000_000, key: str = "id"):
+    def __init__(self, spark: SparkSession, root: str, slot_rows: int | None = None, key: str = "id"):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.slots = slots
         self.slot_rows = slot_rows
         self.key = key
 
     def path(self, table: str) -> str:
         return f"{self.root}/tables/{table}"
 
-    def slot(self) -> Column:
-        return F.pmod(F.floor(F.col(self.key) / F.lit(self.slot_rows)), F.lit(self.slots)).cast("int")
-
-    def _committed(self, table: str) -> tuple[dict[int, int], int]:
-        """Current side of every slot, at most ``slots`` entries, and the number of the last commit."""
+    def _there(self, path: str, schema: str) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits/{table}")
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return {}, 0
+                return None
             raise
-        rows = commits.groupBy(SLOT).agg(F.max_by(SIDE, "seq").alias(SIDE), F.max("seq").alias("seq")).collect()
-        return {row[SLOT]: row[SIDE] for row in rows}, max(row["seq"] for row in rows)
 
-    def _sides(self, table: str, sides: Mapping[int, int]) -> DataFrame:
-        """Rows of the given slot sides; the condition is on partition columns only, so nothing else is read."""
-        chosen = [
-            (F.col(SIDE) == side) & F.col(SLOT).isin([slot for slot, now in sides.items() if now == side])
-            for side in (0, 1)
-        ]
-        return self.spark.read.parquet(self.path(table)).where(chosen[0] | chosen[1]).drop(SIDE)
+    def _layout(self, table: str) -> int:
+        """The rows of a slot, as the table was created with."""
+        path = f"{self.root}/layout/{table}"
+        stored = self._there(path, LAYOUT)
+        row = stored.first() if stored is not None else None
+        if row is None:
+            row = {"key": self.key, "slot_rows": self.slot_rows or SLOT_ROWS}
+            self.spark.range(1, numPartitions=1).select(
+                F.lit(row["key"]).alias("key"), F.lit(row["slot_rows"]).cast("long").alias("slot_rows")
+            ).write.mode("overwrite").parquet(path)
+        if row["key"] != self.key or self.slot_rows not in (None, row["slot_rows"]):
+            raise ValueError(
+                f"{table} was created with key {row['key']} and {row['slot_rows']} rows a slot, not {self.key} and {self.slot_rows}"
+            )
+        return row["slot_rows"]
+
+    def _commits(self, table: str) -> DataFrame | None:
+        return self._there(f"{self.root}/commits/{table}", COMMITS)
+
+    def _last(self, table: str) -> tuple[int, T.StructType | None]:
+        """The number of the last commit and the table's columns."""
+        commits = self._commits(table)
+        row = commits.agg(F.max(F.struct("seq", "schema")).alias("last")).first()["last"] if commits is not None else None
+        return (row["seq"], T.StructType.fromJson(json.loads(row["schema"]))) if row is not None else (0, None)
+
+    def _state(self, table: str) -> DataFrame:
+        """Each slot's current version and the one it has replaced."""
+        return (
+            self._commits(table)
+            .where(F.col(SLOT).isNotNull())
+            .groupBy(SLOT)
+            .agg(F.max_by(F.struct(VERSION, "replaced"), "seq").alias("now"))
+            .select(SLOT, "now.version", "now.replaced")
+        )
+
+    def _rows(self, table: str, schema: T.StructType, state: DataFrame, few: list[Row] | None) -> DataFrame:
+        """The rows of the given slots. A few are named by partition, so that nothing else is read."""
+        fields = schema.fields + [T.StructField(SLOT, T.LongType()), T.StructField(VERSION, T.StringType())]
+        if few is not None and not few:
+            return self.spark.createDataFrame([], T.StructType(fields[:-1]))
+        files = self.spark.read.schema(T.StructType(fields)).parquet(self.path(table))
+        if few is None:
+            return files.join(state.select(SLOT, VERSION), [SLOT, VERSION]).select(*schema.names, SLOT)
+        slots = defaultdict(list)
+        for row in few:
+            slots[row[VERSION]].append(row[SLOT])
+        chosen = reduce(or_, [(F.col(VERSION) == v) & F.col(SLOT).isin(own) for v, own in slots.items()])
+        return files.where(chosen).drop(VERSION)
 
     def read(self, table: str) -> DataFrame:
-        sides, _ = self._committed(table)
-        if not sides:
+        """The whole table. A replicated source without rows is an empty table with its columns."""
+        _, schema = self._last(table)
+        if schema is None:
             raise LookupError(f"{table} has not been replicated yet")
-        return self._sides(table, sides).drop(SLOT)
+        state = self._state(table)
+        some = state.limit(FEW_SLOTS + 1).collect()
+        return self._rows(table, schema, state, some if len(some) <= FEW_SLOTS else None).select(*schema.names)
 
     def merge(self, table: str, delta: DataFrame, ties: Sequence[str] = ()) -> None:
         """Put the rows of ``delta`` into the table by key; repeating a merge changes nothing.
 
         Touched slots are read, merged and written as whole partitions, rebalanced so that a large slot becomes
-        several files.
+        several files. A batch with a NULL key is refused as a whole, as is a key that is no integer.
         """
-        delta = delta.withColumn(SLOT, self.slot())
-        # At most ``slots`` small numbers, whatever the size of the batch.
-        touched = [row[0] for row in delta.select(SLOT).distinct().collect()]
-        if not touched:
+        if not isinstance(delta.schema[self.key].dataType, T.IntegralType):
+            raise TypeError(f"the key {self.key} of {table} must be an integer, not {delta.schema[self.key].dataType.simpleString()}")
+        rows = delta.withColumn(SLOT, F.floor(F.col(self.key) / F.lit(self._layout(table))).cast("long"))
+        ordered = rows.select(SLOT).distinct().orderBy(F.col(SLOT).asc_nulls_first())
+        touched = [row[0] for row in ordered.limit(FEW_SLOTS + 1).collect()]
+        if touched and touched[0] is None:
+            raise ValueError(f"a changed row of {table} has no {self.key}")
+        seq, schema = self._last(table)
+        if not touched and schema is not None and set(delta.columns) <= set(schema.names):
             return
-        sides, seq = self._committed(table)
-        existing = {slot: sides[slot] for slot in touched if slot in sides}
-        if existing:
-            merged = upsert_merge(self._sides(table, existing), delta, [self.key], ties=ties)
+        version = uuid4().hex
+        columns = T.StructType((schema.fields if schema else []) + [f for f in delta.schema.fields if not schema or f.name not in schema.names])
+        replaced = None
+        if schema is None:
+            merged = latest_per_key(rows, [self.key], [WRITE_DATE, *ties])
         else:
-            merged = latest_per_key(delta, [self.key], [WRITE_DATE, *ties])
-        switched = {slot: 1 - sides.get(slot, 1) for slot in touched}
-        (
-            merged.withColumn(SIDE, F.col(SLOT).isin([slot for slot, side in switched.items() if side]).cast("int"))
-            .hint("rebalance", SLOT, SIDE)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(SLOT, SIDE)
-            .parquet(self.path(table))
-        )
-        commit = self.spark.createDataFrame([(slot, side, seq + 1) for slot, side in switched.items()], COMMITS)
-        commit.coalesce(1).write.mode("append").parquet(f"{self.root}/commits/{table}")
+            state = self._state(table)
+            if len(touched) <= FEW_SLOTS:
+                replaced = state.where(F.col(SLOT).isin(touched))
+                few = replaced.collect()
+            else:
+                replaced, few = state.join(rows.select(SLOT).distinct(), SLOT), None
+            merged = upsert_merge(self._rows(table, schema, replaced, few), rows, [self.key], ties=ties)
+        if touched:
+            (
+                merged.withColumn(VERSION, F.lit(version))
+                .hint("rebalance", SLOT)
+                .write.mode("append")
+                .partitionBy(SLOT, VERSION)
+                .parquet(self.path(table))
+            )
+        if len(touched) <= FEW_SLOTS:
+            new = self.spark.createDataFrame([(slot,) for slot in touched or [None]], f"{SLOT} BIGINT")
+        else:
+            new = rows.select(SLOT).distinct()
+        self._commit(table, seq, new, version, columns, replaced)
+
+    def _commit(
+        self, table: str, seq: int, slots: DataFrame, version: str, columns: T.StructType, replaced: DataFrame | None
+    ) -> None:
+        new = slots.withColumn(VERSION, F.lit(version))
+        if replaced is None:
+            new = new.withColumn("replaced", F.lit(None).cast("string"))
+            old = []
+        else:
+            before = replaced.select(SLOT, F.col(VERSION).alias("replaced"))
+            new = new.join(before, SLOT, "left").select(SLOT, VERSION, "replaced")
+            old = replaced.where("replaced is not null").select(SLOT, "replaced").collect()
+        folding = (seq + 1) % FOLD_EVERY == 0 and seq > 0
+        if folding:
+            new = new.union(self._state(table).join(slots.select(SLOT), SLOT, "left_anti"))
+        path = f"{self.root}/commits/{table}/seq={seq + 1}"
+        stated = new.withColumn("schema", F.lit(columns.json())).coalesce(1)
+        for attempt in range(2):
+            try:
+                stated.write.mode("errorifexists").parquet(path)
+                break
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+                if attempt or self._last(table)[0] > seq:
+                    raise ConcurrentWrite(f"{table} has been written by someone else since commit {seq}") from error
+                remove_folder(self.spark, path)  # what a writer left that died while it committed
+        for row in old:
+            remove_folder(self.spark, f"{self.path(table)}/{SLOT}={row[SLOT]}/{VERSION}={row['replaced']}")
+        if folding:
+            for n in range(max(1, seq + 1 - 2 * FOLD_EVERY), seq + 1):
+                remove_folder(self.spark, f"{self.root}/commits/{table}/seq={n}")
 
 
 def replicated_erp(replica: Replica, names: Mapping[str, str] = ERP_TABLES) -> Erp:

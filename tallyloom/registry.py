@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ from tallyloom.operators.watermark import Watermark
 from tallyloom.plans import balances, lines, replica, sales
 from tallyloom.plans.jobs import ReportCall, run_job
 from tallyloom.plans.replicate import Replica, replicate
-from tallyloom.session import shared_folder, tune
+from tallyloom.session import run_folder, tune
 from tallyloom.sources import standin
 from tallyloom.sources.cleaning import clean_ledger, nan_to_null, stage_ledger
 from tallyloom.sources.ledger import Ledger
@@ -64,10 +63,6 @@ def _as_text(query: Query, *columns: str) -> Query:
     return lambda spark, folder: query(spark, folder).withColumns({c: F.col(c).cast("string") for c in columns})
 
 
-def _run_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/tallyloom/{uuid4().hex}"
-
-
 LEDGER_REPORTS: dict[str, Query] = {
     "payroll_lines": _ledger(lines.payroll_lines, details=PAYROLL, posted_only=False),
     "payroll_lines_posted": _ledger(lines.payroll_lines, details=PAYROLL),
@@ -186,7 +181,7 @@ def account_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def staged_journal_balance(spark: SparkSession, folder: str) -> DataFrame:
     """The balance report over a journal that was joined and written beforehand."""
-    staged = stage_journal(standin.ledger(tune(spark), folder), f"{_run_folder(spark)}/journal")
+    staged = stage_journal(standin.ledger(tune(spark), folder), f"{run_folder(spark)}/journal")
     return balances.account_month_balance(staged)
 
 
@@ -215,7 +210,7 @@ def staged_ledger_detail(spark: SparkSession, folder: str) -> DataFrame:
     source = standin.ledger(tune(spark), folder)
     needed = ("lines", "headers", "centers", "details", "accounts")
     tables = {name: getattr(source, name) for name in needed}
-    staged = stage_ledger(Ledger(**tables, posted_state=source.posted_state), f"{_run_folder(spark)}/tables")
+    staged = stage_ledger(Ledger(**tables, posted_state=source.posted_state), f"{run_folder(spark)}/tables")
     return lines.expense_detail(staged)
 
 
@@ -275,8 +270,8 @@ def upsert(spark: SparkSession, folder: str) -> DataFrame:
 def replication(spark: SparkSession, folder: str) -> DataFrame:
     """Two replication runs: everything, then the changes past the watermark. Gives the replica's table."""
     base, delta = _replicated(spark, folder)
-    root = _run_folder(spark)
-    target, mark = Replica(spark, root, slots=16, slot_rows=5_000), Watermark(spark, f"{root}/watermark")
+    root = run_folder(spark)
+    target, mark = Replica(spark, root, slot_rows=5_000), Watermark(spark, f"{root}/watermark")
     replicate(target, {"account_invoice": base}, mark, now=CUTOFF)
     replicate(target, {"account_invoice": delta}, mark, now=datetime(2002, 1, 1))
     return _invoice_rows(target.read("account_invoice"))
@@ -285,19 +280,19 @@ def replication(spark: SparkSession, folder: str) -> DataFrame:
 def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
     """The watermark after two runs whose cutoffs are the oldest and the newest order date."""
     orders = standin.table(tune(spark), folder, "orders")
-    root = _run_folder(spark)
-    target, mark = Replica(spark, root, slots=16, slot_rows=5_000), Watermark(spark, f"{root}/watermark")
+    root = run_folder(spark)
+    target, mark = Replica(spark, root, slot_rows=5_000), Watermark(spark, f"{root}/watermark")
     first, last = orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
     for cutoff in (first, last):
         replicate(target, {"account_invoice": standin.invoices(orders)}, mark, now=cutoff)
-    return spark.range(1).select(wall_clock(mark.read()).alias("cutoff"))
+    return mark.state().select("cutoff")
 
 
 def streaming_replication(spark: SparkSession, folder: str) -> DataFrame:
     """The same two batches as files of a stream, the older of them arriving last."""
     base, delta = _replicated(spark, folder)
-    root = _run_folder(spark)
-    target = Replica(spark, root, slots=16, slot_rows=5_000)
+    root = run_folder(spark)
+    target = Replica(spark, root, slot_rows=5_000)
     for batch in (delta, base):
         batch.write.mode("append").parquet(f"{root}/changes")
         stream_changes(
@@ -309,7 +304,7 @@ def streaming_replication(spark: SparkSession, folder: str) -> DataFrame:
 def newest_snapshot_load(spark: SparkSession, folder: str) -> DataFrame:
     """Two exports of the customers; the newer one is loaded whole."""
     customers = standin.table(tune(spark), folder, "customer")
-    root = _run_folder(spark)
+    root = run_folder(spark)
     customers.where("c_acctbal < 0").write.parquet(f"{root}/exports/b-old")
     customers.write.parquet(f"{root}/exports/a-new")
     return load_newest(spark, f"{root}/exports", "parquet", "*.parquet")
@@ -318,7 +313,7 @@ def newest_snapshot_load(spark: SparkSession, folder: str) -> DataFrame:
 def snapshot_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """A report written twice under one name; the second run is the current snapshot."""
     source = standin.ledger(tune(spark), folder)
-    store = SnapshotStore(spark, _run_folder(spark))
+    store = SnapshotStore(spark, run_folder(spark))
     store.write("balance", balances.account_month_balance(source, years=1995))
     store.write("balance", balances.account_month_balance(source))
     return store.read("balance")
@@ -326,7 +321,7 @@ def snapshot_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
 
 def two_target_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """One result under two names; gives the second."""
-    store = SnapshotStore(spark, _run_folder(spark))
+    store = SnapshotStore(spark, run_folder(spark))
     call = ReportCall(("statement", "statement_1999"), replica.income_statement_year, {"year": 1999})
     run_job(store, standin.erp(tune(spark), folder), [call])
     return store.read("statement_1999")
@@ -334,7 +329,7 @@ def two_target_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 def company_partitioned_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """A report over four companies, written with one directory per company."""
-    store = SnapshotStore(spark, _run_folder(spark))
+    store = SnapshotStore(spark, run_folder(spark))
     call = ReportCall("balance", balances.account_month_balance, partition_by=("company",))
     run_job(store, standin.company_ledger(tune(spark), folder), [call])
     return store.read("balance")
@@ -342,7 +337,7 @@ def company_partitioned_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 def report_job_log(spark: SparkSession, folder: str) -> DataFrame:
     """A job of three reports over a staged journal; gives its run log."""
-    root = _run_folder(spark)
+    root = run_folder(spark)
     store = SnapshotStore(spark, root)
     calls = [
         ReportCall("balance", balances.account_month_balance),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 from functools import cache
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -44,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # "local-cluster[...]" has executors of its own, so a folder of the driver's machine won't do there either.
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     return _local_folder()
 
@@ -52,3 +55,21 @@ def shared_folder(spark: SparkSession) -> str:
 @cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tallyloom-")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system Spark keeps it; one that isn't there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def run_folder(spark: SparkSession, name: str = "tallyloom") -> str:
+    """A new folder in the shared one for the tables of one run. It goes when Python ends, if the session still stands."""
+    path = f"{shared_folder(spark)}/{name}/{uuid4().hex}"
+
+    def clean() -> None:
+        if spark.sparkContext._jsc is not None:
+            remove_folder(spark, path)
+
+    atexit.register(clean)
+    return path

@@ -214,13 +214,13 @@ def test_hot_partition_is_written_as_several_files(spark, tmp_path):
 
 
 def test_replica_reads_current_partitions_only(spark, tmp_path):
-    target = Replica(spark, str(tmp_path), slots=8, slot_rows=10)
+    target = Replica(spark, str(tmp_path), slot_rows=10)
     written = F.lit("2024-01-01").cast("timestamp_ntz").alias("write_date")
     target.merge("t", spark.range(80).select("id", F.lit("a").alias("name"), written))
     target.merge("t", spark.range(5).select("id", F.lit("b").alias("name"), written))
     current = target.read("t")
     partition_filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", physical(current)).group(1)
-    assert "slot" in partition_filters and "side" in partition_filters
+    assert "slot" in partition_filters and "version" in partition_filters
     assert current.count() == 80 and current.where("name = 'b'").count() == 5
 
 

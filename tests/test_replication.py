@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.changes import changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
 from tallyloom.plans import replica as reports
-from tallyloom.plans.replicate import Replica, replicate, replicated_erp
+from tallyloom.plans.replicate import ConcurrentWrite, Replica, replicate, replicated_erp
 from tallyloom.sources.cleaning import nan_to_null
 from tallyloom.sources.schemas import ERP_TABLES
 from tallyloom.streaming.changes import stream_changes
@@ -67,10 +67,11 @@ def test_newest_of_many_versions(spark):
     assert content(latest_per_key(delta, ["id"], ["write_date"])) == {1: "v49", 2: "x"}
 
 
-def test_other_columns_are_refused(spark):
-    base = table(spark, (1, "a", day(1)))
-    with pytest.raises(ValueError):
-        upsert_merge(base, base.withColumn("extra", F.lit(1)), ["id"])
+def test_new_columns_are_null_in_older_rows(spark):
+    base = table(spark, (1, "a", day(1)), (2, "b", day(1)))
+    delta = table(spark, (2, "B", day(2))).withColumn("extra", F.lit(7)).drop("rate")
+    merged = {r["id"]: (r["name"], r["rate"], r["extra"]) for r in upsert_merge(base, delta, ["id"]).collect()}
+    assert merged == {1: ("a", 1.0, None), 2: ("B", None, 7)}
 
 
 def test_nan_becomes_null_and_types_stay(spark):
@@ -80,29 +81,141 @@ def test_nan_becomes_null_and_types_stay(spark):
     assert tuple(cleaned.first()) == (None, None, 1.5, "NaN", 3)
 
 
+def versions(tmp_path, name="t"):
+    found = {}
+    for path in (tmp_path / "tables" / name).rglob("*.parquet"):
+        found.setdefault(path.parent.parent.name, set()).add(path.parent.name)
+    return found
+
+
 def test_merge_rewrites_touched_slots_only(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path), slots=4, slot_rows=10)
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
     replica.merge("t", table(spark, *[(i, "a", day(1)) for i in range(60)]))
-    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "t").rglob("*.parquet")}
-    # Ids 3 and 41 fall into the same slot, which also holds other ids.
-    replica.merge("t", table(spark, (3, "b", day(2)), (41, "b", day(2)), (1000, "n", day(2))))
-    assert content(replica.read("t")) == {**{i: "a" for i in range(60)}, 3: "b", 41: "b", 1000: "n"}
-    assert all(p.exists() and p.stat().st_mtime_ns == files[p] for p in files)
-    written = {p.parent for p in (tmp_path / "tables" / "t").rglob("*.parquet") if p not in files}
-    assert {str(p.relative_to(tmp_path / "tables" / "t")) for p in written} == {"slot=0/side=1"}
+    before = versions(tmp_path)
+    assert set(before) == {f"slot={n}" for n in range(6)}
+    replica.merge("t", table(spark, (3, "b", day(2)), (1000, "n", day(2))))
+    assert content(replica.read("t")) == {**{i: "a" for i in range(60)}, 3: "b", 1000: "n"}
+    after = versions(tmp_path)
+    assert {s for s in after if after[s] != before.get(s)} == {"slot=0", "slot=100"}
+
+
+def test_slots_grow_with_ids_and_a_small_batch_reads_one(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
+    written = F.lit("2024-01-01").cast("timestamp_ntz").alias("write_date")
+    replica.merge("t", spark.range(3000).select("id", F.lit("a").alias("name"), F.lit(1.0).alias("rate"), written))
+    assert len(versions(tmp_path)) == 300
+    read = []
+    rows = Replica._rows
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(Replica, "_rows", lambda *args: read.append(rows(*args)) or read[-1])
+        replica.merge("t", table(spark, (1234, "b", day(2))))
+    assert read[0].count() == 10
+    assert replica.read("t").count() == 3000 and content(replica.read("t").where("id = 1234")) == {1234: "b"}
+
+
+def test_more_slots_than_are_named_in_a_filter(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.replicate.FEW_SLOTS", 2)
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
+    for n in range(3):
+        replica.merge("t", table(spark, *[(i, f"v{n}", day(n)) for i in range(50)]))
+        assert content(replica.read("t")) == {i: f"v{n}" for i in range(50)}
+    assert all(len(v) == 2 for v in versions(tmp_path).values())
+
+
+def test_storage_stays_bounded_and_the_newest_version_is_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.replicate.FOLD_EVERY", 4)
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
+    for n in range(11):
+        replica.merge("t", table(spark, (1, f"v{n}", day(n)), *[(15, f"w{n}", day(n))] * (n < 2)))
+        assert content(replica.read("t")) == {1: f"v{n}", 15: f"w{min(n, 1)}"}
+    assert all(len(v) <= 2 for v in versions(tmp_path).values())
+    assert len(list((tmp_path / "commits" / "t").iterdir())) <= 5
+
+
+def test_layout_is_kept_with_the_table(spark, tmp_path):
+    rows = [(i, "a", day(1)) for i in range(100)]
+    Replica(spark, str(tmp_path), slot_rows=8).merge("t", table(spark, *rows))
+    with pytest.raises(ValueError, match="8 rows a slot"):
+        Replica(spark, str(tmp_path), slot_rows=16).merge("t", table(spark, *rows[:20]))
+    with pytest.raises(ValueError, match="key id"):
+        Replica(spark, str(tmp_path), key="rate").merge("t", table(spark, *rows[:20]).withColumn("rate", F.lit(1)))
+    Replica(spark, str(tmp_path)).merge("t", table(spark, *rows[:20]))
+    assert Replica(spark, str(tmp_path)).read("t").count() == 100
+
+
+def test_missing_and_textual_keys_are_refused(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
+    replica.merge("t", table(spark, (1, "a", day(1))))
+    with pytest.raises(ValueError, match="has no id"):
+        replica.merge("t", table(spark, (2, "b", day(2)), (None, "lost", day(2))))
+    with pytest.raises(TypeError, match="must be an integer"):
+        Replica(spark, str(tmp_path), key="name").merge("u", table(spark, (1, "a", day(1))))
+    assert content(replica.read("t")) == {1: "a"}
+
+
+def test_equal_write_dates_give_the_same_row_every_time(spark, tmp_path):
+    rows = table(spark, *[(1, f"v{n:02}", day(1)) for n in range(40)])
+    found = set()
+    for n in (1, 5, 9):
+        replica = Replica(spark, str(tmp_path / str(n)))
+        replica.merge("t", rows.repartition(n))
+        replica.merge("t", rows.repartition(n + 1))
+        found.add(replica.read("t").first()["name"])
+    assert found == {"v39"}
+
+
+def test_second_of_two_writers_fails_and_loses_nothing(spark, tmp_path, monkeypatch):
+    first, second = Replica(spark, str(tmp_path), slot_rows=10), Replica(spark, str(tmp_path), slot_rows=10)
+    first.merge("t", table(spark, (1, "a", day(1))))
+    commit = Replica._commit
+
+    def interrupted(self, *args):
+        monkeypatch.setattr(Replica, "_commit", commit)
+        first.merge("t", table(spark, (1, "first", day(2)), (2, "first", day(2))))
+        commit(self, *args)
+
+    monkeypatch.setattr(Replica, "_commit", interrupted)
+    with pytest.raises(ConcurrentWrite):
+        second.merge("t", table(spark, (1, "second", day(3))))
+    assert content(first.read("t")) == {1: "first", 2: "first"}
+    second.merge("t", table(spark, (1, "second", day(3))))
+    assert content(first.read("t")) == {1: "second", 2: "first"}
+
+
+def test_leftover_of_a_writer_that_died_committing(spark, tmp_path):
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
+    replica.merge("t", table(spark, (1, "a", day(1))))
+    (tmp_path / "commits" / "t" / "seq=2" / "_temporary").mkdir(parents=True)
+    replica.merge("t", table(spark, (1, "b", day(2))))
+    assert content(replica.read("t")) == {1: "b"}
+
+
+def test_empty_source_and_new_column(spark, tmp_path):
+    replica, mark = Replica(spark, str(tmp_path)), Watermark(spark, str(tmp_path / "mark"))
+    empty = table(spark, (1, "a", day(1))).where("id > 5")
+    replicate(replica, {"t": empty}, mark, now=day(1))
+    assert replica.read("t").count() == 0 and replica.read("t").dtypes == empty.dtypes
+    replicate(replica, {"t": table(spark, (1, "a", day(2)), (2, "b", day(2)))}, mark, now=day(3))
+    wider = table(spark, (2, "B", day(4)), (3, "c", day(4))).withColumn("extra", F.lit("x"))
+    replicate(replica, {"t": wider}, mark, now=day(5))
+    assert sorted((r["id"], r["name"], r["extra"]) for r in replica.read("t").collect()) == [
+        (1, "a", None), (2, "B", "x"), (3, "c", "x"),
+    ]
+    assert mark.read() == day(5)
 
 
-def test_storage_stays_bounded_and_the_newest_side_is_read(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path), slots=2, slot_rows=10)
-    for n in range(5):
-        replica.merge("t", table(spark, (1, f"v{n}", day(n)), (15, f"w{n}", day(n))))
-        assert content(replica.read("t")) == {1: f"v{n}", 15: f"w{n}"}
-    sides = {str(p.parent.relative_to(tmp_path / "tables" / "t")) for p in (tmp_path / "tables").rglob("*.parquet")}
-    assert sides == {f"slot={s}/side={d}" for s in (0, 1) for d in (0, 1)}
+def test_watermark_follows_its_number_and_not_the_clock(spark, tmp_path, monkeypatch):
+    mark = Watermark(spark, str(tmp_path / "mark"))
+    monkeypatch.setattr("tallyloom.operators.watermark.utc_now", lambda: day(0))
+    for n in (5, 6, 4, 9):
+        mark.advance(day(n))
+        monkeypatch.setattr("tallyloom.operators.watermark.utc_now", lambda n=n: day(-n))
+        assert mark.read() == day(n)
+    assert len(list((tmp_path / "mark").rglob("*.parquet"))) == 2
 
 
 def test_merge_that_dies_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
-    replica = Replica(spark, str(tmp_path), slots=2, slot_rows=10)
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
     replica.merge("t", table(spark, (1, "a", day(1)), (2, "b", day(1))))
     delta = table(spark, (1, "X", day(2)))
     with monkeypatch.context() as patched:
@@ -120,7 +233,7 @@ def test_unknown_table(spark, tmp_path):
 
 
 def test_negative_ids_and_empty_batches(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path), slots=4, slot_rows=10)
+    replica = Replica(spark, str(tmp_path), slot_rows=10)
     replica.merge("t", table(spark, (-7, "a", day(1)), (7, "b", day(1))))
     replica.merge("t", table(spark, (1, "x", day(1))).where("id < 0"))
     assert content(replica.read("t")) == {-7: "a", 7: "b"}
@@ -159,7 +272,7 @@ def test_failing_table_leaves_the_watermark(spark, tmp_path):
 
 
 def test_stream_keeps_newer_rows_whatever_the_order(spark, tmp_path):
-    replica = Replica(spark, str(tmp_path / "replica"), slots=4, slot_rows=10)
+    replica = Replica(spark, str(tmp_path / "replica"), slot_rows=10)
     folder = str(tmp_path / "in")
 
     def run():
