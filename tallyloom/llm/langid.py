@@ -66,9 +66,13 @@ class Model:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    vectors = np.log1p(counts).astype(np.float32) * idf
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.where(length > 0, length, 1)
+    """The counts as vectors of length 1. 32-bit counts are overwritten, as the driver holds those of the whole sample."""
+    vectors = counts.astype(np.float32, copy=False)
+    np.log1p(vectors, out=vectors)
+    vectors *= idf
+    length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
+    vectors /= np.where(length > 0, length, 1)
+    return vectors
 
 
 def clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -93,7 +97,7 @@ def fit(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    train_docs: int = 4096,
+    train_docs: int = 2048,
     max_langs: int = 512,
     centroids: int = 4,
     margin: float = 0.3,
