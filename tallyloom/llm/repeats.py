@@ -90,7 +90,7 @@ class Stretches:
         first = np.flatnonzero(valid & ~goes_on[:-1])
         last = np.flatnonzero(valid & ~goes_on[1:])
         anchor = anchor[first]
-        full = h[anchor]
+        full = mix(h[anchor])  # anew, as anchors have small hashes, which would crowd into the first buckets
         end = last + length
         s = mix(hashes.run(first, end) + (end - first).astype(U64)) & U64((1 << 48) - 1)
         bucket = ((full >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
