@@ -58,10 +58,9 @@ def source_rates(
     for name, value in (weights or {}).items():
         given = F.when(F.col("__source") == name, F.lit(float(value))).otherwise(given)
     size = size.where("size > 0").withColumn("weight", given)
-    total = size.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    # The total is one row by construction, whatever the input.
-    return size.join(F.broadcast(total)).select(
-        "__source", (F.lit(float(epochs)) * F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size")).alias("rate")
+    all_size, all_weight = (size.agg(F.sum(c)).scalar() for c in ("size", "weight"))
+    return size.select(
+        "__source", (F.lit(float(epochs)) * F.col("weight") / all_weight * all_size / F.col("size")).alias("rate")
     )
 
 
