@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.criteria import keep
 from tallyloom.functions.text import month_number
+from tallyloom.operators.pointer import Versions
+from tallyloom.session import sized_shuffles
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import VOUCHER_KEY
+from tallyloom.sources.schemas import VOUCHER_KEY, YEAR_KEY
 
 HEADER_MONTH = "header_mes"
 
@@ -28,11 +30,12 @@ def journal(ledger: Ledger) -> DataFrame:
     """
     if ledger.journal is not None:
         return ledger.journal
-    keys = [*ledger.scope, *VOUCHER_KEY]
+    spelled = YEAR_KEY in ledger.lines.columns and YEAR_KEY in ledger.headers.columns
+    keys = [*ledger.scope, *(YEAR_KEY if spelled and key == "cpbano" else key for key in VOUCHER_KEY)]
     headers = ledger.headers.select(
         *keys, F.col("cpbmes").alias(HEADER_MONTH), "cpbtip", "cpbnui", "cpbest", "cpbfec"
     )
-    return ledger.lines.join(headers, keys)
+    return ledger.lines.join(headers, keys).drop(YEAR_KEY)
 
 
 def narrowed(ledger: Ledger, narrow: Callable[[DataFrame], DataFrame]) -> Ledger:
@@ -64,16 +67,30 @@ def stage_journal(ledger: Ledger, path: str) -> Ledger:
     """Write the journal once, by company and year, and return a ledger whose reports read it.
 
     A run of many reports then pays for the line-header join once, and each report's filters reach the scan.
-    Rebalancing keeps files even when one company or year holds most lines.
+    Rebalancing keeps files even when one company or year holds most lines. Inside a file lines are sorted by account
+    and centre, by which nearly every report filters, so that a scan skips most of it. A run that fails leaves the
+    journal before it as it was, also for those who are reading it.
     """
     partitions = [*ledger.scope, "cpbano"]
-    (
-        journal(ledger)
-        .hint("rebalance", *partitions)
-        .write.mode("overwrite")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    versions = Versions(ledger.lines.sparkSession, path)
+    folder = versions.new()
+    rows = journal(ledger.with_tables(journal=None))
+    with sized_shuffles(rows):
+        (
+            rows.hint("rebalance", *partitions)
+            .sortWithinPartitions(*partitions, "pctcod", "cccod")
+            .write.partitionBy(*partitions)
+            .parquet(folder)
+        )
+    versions.switch(folder)
     # The declared schema keeps company codes such as '001' from being read back as numbers.
-    staged = ledger.lines.sparkSession.read.schema(journal(ledger).schema).parquet(path)
-    return ledger.with_tables(journal=staged)
+    return ledger.with_tables(journal=ledger.lines.sparkSession.read.schema(rows.schema).parquet(folder))
+
+
+def staged_journal(ledger: Ledger, path: str) -> Ledger:
+    """``ledger`` with the journal that was last staged at ``path``."""
+    folder = Versions(ledger.lines.sparkSession, path).current()
+    if folder is None:
+        raise LookupError(f"no journal has been staged at {path}")
+    schema = journal(ledger.with_tables(journal=None)).schema
+    return ledger.with_tables(journal=ledger.lines.sparkSession.read.schema(schema).parquet(folder))

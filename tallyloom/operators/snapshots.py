@@ -12,12 +12,12 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.dates import utc_now
-from tallyloom.operators.runlog import append_run, latest_finished, read_log
+from tallyloom.operators.runlog import append_run, fold_runs, latest_finished, read_log
 
 
 class SnapshotStore:
@@ -33,22 +33,35 @@ class SnapshotStore:
     def log(self) -> DataFrame:
         return read_log(self.spark, self.log_path)
 
-    def write(self, report: str, result: DataFrame | Callable[[], DataFrame], partition_by: Sequence[str] = ()) -> int:
+    def write(
+        self,
+        report: str,
+        result: DataFrame | Callable[[], DataFrame],
+        partition_by: Sequence[str] = (),
+        order_by: Sequence[str | Column] = (),
+    ) -> int:
         """Write a result as the new snapshot of ``report`` and return its row count.
 
         A callable is evaluated inside the logged run, so that an error while building the report is logged too.
-        Partitioned output is rebalanced, which splits a company that holds most of the rows.
+        Partitioned output is rebalanced, which splits a company that holds most of the rows. That undoes the result's
+        own order, whose sort Spark then leaves out; with ``order_by`` the rows of each file are sorted afterwards.
+        Runs are numbered, and the highest number that has finished is current. A report has one writer at a time.
         """
-        run_id = uuid4().hex
-        run = {"report": report, "run_id": run_id, "started_at": self.clock()}
+        before = read_log(self.spark, self.log_path, report).agg(F.max("seq")).first()[0]
+        seq = 0 if before is None else before + 1
+        run = {"report": report, "run_id": uuid4().hex, "seq": seq, "started_at": self.clock()}
+        fold_runs(self.spark, self.log_path, report, seq)
         append_run(self.spark, self.log_path, **run, status="started")
         try:
             df = result() if callable(result) else result
             path = self._spare_path(report)
             if partition_by:
-                df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+                dealt = df.hint("rebalance", *partition_by)
+                if order_by:
+                    dealt = dealt.sortWithinPartitions(*partition_by, *order_by)
+                dealt.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
             else:
-                df.write.mode("overwrite").parquet(path)
+                (df.orderBy(*order_by) if order_by else df).write.mode("overwrite").parquet(path)
             # Counted from the footers of the files just written; an observed metric is lost when the optimizer
             # replaces an empty result.
             rows = self.spark.read.schema(df.schema).parquet(path).count()
@@ -59,7 +72,7 @@ class SnapshotStore:
                 **run,
                 finished_at=self.clock(),
                 status="failed",
-                message=f"{type(error).__name__}: {error}"[:4000],
+                message=f"{type(error).__name__}: {error}",
             )
             raise
         append_run(
@@ -75,7 +88,7 @@ class SnapshotStore:
         return rows
 
     def _current(self, report: str) -> Row | None:
-        return latest_finished(self.log().where(F.col("report") == report)).select("path", "schema_json").first()
+        return latest_finished(read_log(self.spark, self.log_path, report)).select("path", "schema_json").first()
 
     def _spare_path(self, report: str) -> str:
         first, second = (f"{self.root}/reports/{report}/{side}" for side in ("a", "b"))

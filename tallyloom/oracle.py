@@ -110,12 +110,12 @@ def _expense_detail(where: str = "true") -> str:
     return _expenses(DETAIL_COLUMNS + ACCOUNT_COLUMNS, f"{DETAIL} {ACCOUNT}", where)
 
 
-def _month_balance(where: str = "true", company: str = "") -> str:
+def _month_balance(where: str = "true", company: str = "", year: str = "l.ano") -> str:
     shown = f"{company} as company, " if company else ""
     grouped = f", {company}" if company else ""
     return _sql(
         "lines headers",
-        f"""select {shown}l.mes as mes, l.ano as ano, cast(sum(l.debe - l.haber) as double) as gastos, l.pct as codigo
+        f"""select {shown}l.mes as mes, {year} as ano, cast(sum(l.debe - l.haber) as double) as gastos, l.pct as codigo
             from lines l {HEADER} where l.mes <> '00' and h.est = 'F' and {where}
             group by l.pct, l.mes, l.ano{grouped}""",
     )
@@ -408,7 +408,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "account_scan": "select p_partkey as id, p_brand as code, p_type as name from part",
     "staged_journal_balance": _month_balance(),
-    "cleaned_ledger_balance": _month_balance(),
+    "cleaned_ledger_balance": _month_balance(year="case when l.ano <> 1996 then cast(l.ano as varchar) end"),
+    "replicated_erp_balance": _account_balance(),
     "staged_ledger_detail": _expense_detail(),
     "snapshot_full_refresh": _month_balance(),
     "nan_cleanup": """

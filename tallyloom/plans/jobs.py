@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tallyloom.operators.journal import stage_journal
 from tallyloom.operators.snapshots import SnapshotStore
@@ -22,6 +22,7 @@ class ReportCall:
     report: Callable[..., DataFrame]
     params: Mapping[str, Any] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
+    order_by: tuple[str | Column, ...] = ()
 
 
 def run_job(
@@ -43,9 +44,9 @@ def run_job(
     for call in calls:
         first, *copies = (call.targets,) if isinstance(call.targets, str) else call.targets
         try:
-            done[first] = store.write(first, lambda: call.report(tables, **call.params), call.partition_by)
+            done[first] = store.write(first, lambda: call.report(tables, **call.params), call.partition_by, call.order_by)
             for name in copies:
-                done[name] = store.write(name, store.read(first), call.partition_by)
+                done[name] = store.write(name, store.read(first), call.partition_by, call.order_by)
         except Exception:
             if stop_on_error:
                 raise

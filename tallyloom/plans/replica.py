@@ -75,15 +75,18 @@ def product_movements(erp: Erp) -> DataFrame:
         .agg(
             F.count("id").alias("orders"),
             shown(total(money("price_subtotal_signed"))).alias("monto"),
-            F.sum("quantity").alias("cantidad"),
+            F.sum(F.col("quantity").cast("decimal(18,4)")).cast("double").alias("cantidad"),
             F.max("write_date").alias("last_order"),
         )
     )
-    rows = look_up(groups, erp.product_variants, {"product_id": "id"}, {"product_tmpl_id": "p_id"}, how="left")
+    # Variants and templates meet first, so that the groups are dealt out for products once.
     templates = erp.product_templates.select(
-        F.col("id").alias("p_id"), F.col("id").alias("known_p_id"), F.col("name").alias("producto")
+        F.col("id").alias("product_tmpl_id"), F.col("id").alias("known_p_id"), F.col("name").alias("producto")
     )
-    rows = rows.join(templates, "p_id", "left")
+    products = erp.product_variants.select(F.col("id").alias("product_id"), "product_tmpl_id").join(
+        templates, "product_tmpl_id", "left"
+    )
+    rows = groups.join(products.drop("product_tmpl_id"), "product_id", "left")
     rows = look_up(rows, erp.partners, {"partner_id": "id"}, {"name": "partner_name"})
     rows = look_up(rows, erp.companies, {"company_id": "id"}, {"name": "company_name"})
     report = rows.select(

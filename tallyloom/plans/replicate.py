@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tallyloom.functions.dates import utc_now
 from tallyloom.operators.changes import WRITE_DATE, changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
-from tallyloom.session import remove_folder
+from tallyloom.session import remove_folder, sized_shuffles
 from tallyloom.sources.cleaning import nan_to_null
 from tallyloom.sources.erp import Erp
 from tallyloom.sources.schemas import ERP_TABLES
@@ -155,13 +155,14 @@ class Replica:
                 replaced, few = state.join(rows.select(SLOT).distinct(), SLOT), None
             merged = upsert_merge(self._rows(table, schema, replaced, few), rows, [self.key], ties=ties)
         if touched:
-            (
-                merged.withColumn(VERSION, F.lit(version))
-                .hint("rebalance", SLOT)
-                .write.mode("append")
-                .partitionBy(SLOT, VERSION)
-                .parquet(self.path(table))
-            )
+            with sized_shuffles(merged):
+                (
+                    merged.withColumn(VERSION, F.lit(version))
+                    .hint("rebalance", SLOT)
+                    .write.mode("append")
+                    .partitionBy(SLOT, VERSION)
+                    .parquet(self.path(table))
+                )
         if len(touched) <= FEW_SLOTS:
             new = self.spark.createDataFrame([(slot,) for slot in touched or [None]], f"{SLOT} BIGINT")
         else:

@@ -27,12 +27,13 @@ from tallyloom.operators.snapshots import SnapshotStore
 from tallyloom.operators.watermark import Watermark
 from tallyloom.plans import balances, lines, replica, sales
 from tallyloom.plans.jobs import ReportCall, run_job
-from tallyloom.plans.replicate import Replica, replicate
+from tallyloom.plans.replicate import Replica, replicate, replicated_erp
 from tallyloom.session import run_folder, tune
 from tallyloom.sources import standin
 from tallyloom.sources.cleaning import clean_ledger, nan_to_null, stage_ledger
 from tallyloom.sources.ledger import Ledger
 from tallyloom.sources.newest import load_newest
+from tallyloom.sources.schemas import ERP_TABLES
 from tallyloom.streaming.changes import stream_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,11 +188,12 @@ def staged_journal_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 def cleaned_ledger_balance(spark: SparkSession, folder: str) -> DataFrame:
     """The balance report over raw tables: padded codes, years as strings, money as doubles."""
+    spelled = F.concat(F.when(F.col("cpbano") == 1996, F.lit("FY")).otherwise(F.lit("")), F.col("cpbano").cast("string"))
     tidy = standin.ledger(tune(spark), folder)
     raw = tidy.with_tables(
         lines=tidy.lines.withColumns(
             {
-                "cpbano": F.col("cpbano").cast("string"),
+                "cpbano": spelled,
                 "pctcod": F.rpad("pctcod", 20, " "),
                 "cpbmes": F.concat("cpbmes", F.lit("  ")),
                 "movdebe": F.col("movdebe").cast("double"),
@@ -199,10 +201,11 @@ def cleaned_ledger_balance(spark: SparkSession, folder: str) -> DataFrame:
             }
         ),
         headers=tidy.headers.withColumns(
-            {"cpbano": F.col("cpbano").cast("string"), "cpbest": F.concat("cpbest", F.lit(" "))}
+            {"cpbano": spelled, "cpbest": F.concat("cpbest", F.lit(" "))}
         ),
     )
-    return balances.account_month_balance(clean_ledger(raw))
+    balance = balances.account_month_balance(clean_ledger(raw))
+    return balance.withColumn("ano", F.col("ano").cast("string"))
 
 
 def staged_ledger_detail(spark: SparkSession, folder: str) -> DataFrame:
@@ -277,6 +280,24 @@ def replication(spark: SparkSession, folder: str) -> DataFrame:
     return _invoice_rows(target.read("account_invoice"))
 
 
+def replicated_erp_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """All eight tables replicated twice, first with other amounts and names; then a report over the replica."""
+    source = standin.erp(tune(spark), folder)
+    root = run_folder(spark)
+    target, mark = Replica(spark, root, slot_rows=50_000), Watermark(spark, f"{root}/watermark")
+    first, second = wall_clock("2001-01-01"), wall_clock("2003-01-01")
+    now = {name: getattr(source, table).withColumn("write_date", second) for table, name in ERP_TABLES.items()}
+    # The test tables repeat order and line numbers, and a replica holds each id once.
+    for name in ("account_move_line", "account_invoice_line"):
+        now[name] = now[name].withColumn("id", F.monotonically_increasing_id())
+    before = {name: df.withColumn("write_date", first) for name, df in now.items()}
+    before["account_move_line"] = before["account_move_line"].withColumn("balance", F.lit(1).cast("decimal(18,2)"))
+    before["account_account"] = before["account_account"].withColumn("name", F.lit("before"))
+    replicate(target, before, mark, now=datetime(2002, 1, 1))
+    replicate(target, now, mark, now=datetime(2004, 1, 1))
+    return replica.company_account_balance(replicated_erp(target))
+
+
 def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
     """The watermark after two runs whose cutoffs are the oldest and the newest order date."""
     orders = standin.table(tune(spark), folder, "orders")
@@ -358,6 +379,7 @@ OPERATORS: dict[str, Query] = {
     "incremental_extract": incremental_extract,
     "upsert_merge": upsert,
     "replication": replication,
+    "replicated_erp_balance": replicated_erp_balance,
     "watermark_advance": watermark_advance,
     "streaming_replication": streaming_replication,
     "newest_snapshot_load": newest_snapshot_load,

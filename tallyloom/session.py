@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every report relies on for skewed keys and for picking join strategies by measured size.
 ADAPTIVE_SETTINGS = {
@@ -38,6 +40,38 @@ def tune(spark: SparkSession, shuffle_bytes: int | None = None, target_bytes: in
     return spark
 
 
+# What Spark assumes of a source whose size it doesn't know, and the most partitions to start with.
+UNKNOWN_BYTES = 1 << 62
+MOST_PARTITIONS = 200_000
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """What the plan's scans are estimated to read, sources of unknown size left out.
+
+    The estimate of the whole plan is of no use here, as that of a join multiplies its sides.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame, target_bytes: int = 256 << 20) -> Iterator[int]:
+    """Inside, shuffles start with enough partitions for all that ``df`` scans; afterwards the setting is what it was."""
+    conf, key = df.sparkSession.conf, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = conf.get(key, None)
+    usual = int(before or conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(usual, min(MOST_PARTITIONS, -(-scanned_bytes(df) // target_bytes)))
+    conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        if before is None:
+            conf.unset(key)
+        else:
+            conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it.
 
@@ -63,6 +97,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
+
+
 def run_folder(spark: SparkSession, name: str = "tallyloom") -> str:
     """A new folder in the shared one for the tables of one run. It goes when Python ends, if the session still stands."""
     path = f"{shared_folder(spark)}/{name}/{uuid4().hex}"

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.money import MONEY
+from tallyloom.operators.pointer import Versions
+from tallyloom.session import sized_shuffles
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import LEDGER_COLUMNS, LEDGER_TABLES
+from tallyloom.sources.schemas import LEDGER_COLUMNS, LEDGER_TABLES, YEAR_KEY
 
 # Columns where a trailing blank is text, not padding.
 DESCRIPTIONS = {"desccc", "desdet", "pcdesc", "desdoc", "nomaux", "movglosa", "desprod", "valor"}
@@ -17,7 +19,9 @@ DESCRIPTIONS = {"desccc", "desdet", "pcdesc", "desdoc", "nomaux", "movglosa", "d
 def clean_table(df: DataFrame, table: str) -> DataFrame:
     """Codes without trailing blanks, years as numbers, money as decimals.
 
-    The source databases ignore trailing blanks when they compare strings and compare year strings with numbers.
+    The source databases ignore trailing blanks when they compare strings and compare year strings with numbers. A year
+    that is no number is NULL where a report compares or shows years; ``YEAR_KEY`` keeps it for the join of lines and
+    headers, so that its vouchers stay.
     """
     declared = {part.split()[0]: part.split()[1] for part in LEDGER_COLUMNS[table].split(", ")}
 
@@ -31,7 +35,12 @@ def clean_table(df: DataFrame, table: str) -> DataFrame:
             column = F.rtrim(column)
         return column.alias(name)
 
-    return df.select(*[cleaned(field) for field in df.schema.fields])
+    columns = [cleaned(field) for field in df.schema.fields]
+    years = [f.name for f in df.schema.fields if f.name.lower() == "cpbano" and isinstance(f.dataType, T.StringType)]
+    if years and table in ("lines", "headers"):
+        number = F.col(years[0]).try_cast("int").cast("string")
+        columns.append(F.coalesce(number, F.rtrim(F.col(years[0]))).alias(YEAR_KEY))
+    return df.select(*columns)
 
 
 def clean_ledger(raw: Ledger) -> Ledger:
@@ -43,24 +52,27 @@ def clean_ledger(raw: Ledger) -> Ledger:
 def stage_ledger(raw: Ledger, root: str) -> Ledger:
     """Clean every table and write it once, so that reports read files instead of asking the database each time.
 
-    Lines and headers are written by year and rebalanced, which splits a year that holds most of the rows.
+    Lines and headers are written by year and rebalanced, which splits a year that holds most of the rows. The tables of
+    a run lie together in a new folder, and the run before stays readable until the one after.
     """
     cleaned = {name: df for name, df in clean_ledger(raw).tables().items() if name in LEDGER_TABLES}
+    spark = next(iter(cleaned.values())).sparkSession
+    versions = Versions(spark, root)
+    folder = versions.new()
     for name, df in cleaned.items():
         if name in ("lines", "headers"):
             writer = df.hint("rebalance", "cpbano").write.partitionBy("cpbano")
         else:
             writer = df.write
-        writer.mode("overwrite").parquet(f"{root}/{LEDGER_TABLES[name]}")
-    spark = next(iter(cleaned.values())).sparkSession
-    return Ledger.read(
-        spark,
-        root,
-        {name: LEDGER_TABLES[name] for name in cleaned},
-        posted_state=raw.posted_state,
-        opening_month=raw.opening_month,
-        scope=raw.scope,
-    )
+        with sized_shuffles(df):
+            writer.parquet(f"{folder}/{LEDGER_TABLES[name]}")
+    versions.switch(folder)
+    # With the columns that were written, so that an empty table, which leaves no file, is read as such.
+    staged = {
+        name: spark.read.schema(df.schema).parquet(f"{folder}/{LEDGER_TABLES[name]}").select(*df.columns)
+        for name, df in cleaned.items()
+    }
+    return Ledger(**staged, posted_state=raw.posted_state, opening_month=raw.opening_month, scope=raw.scope)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -59,7 +59,10 @@ class Ledger:
         """Several companies as one ledger with a ``company`` column, so that a report runs once over all of them."""
         parts = {name: ledger.tables() for name, ledger in companies.items()}
         first = next(iter(companies.values()))
-        common = set.intersection(*(set(tables) for tables in parts.values()))
+        known = set.union(*(set(tables) for tables in parts.values()))
+        lacking = {name: sorted(known - set(tables)) for name, tables in parts.items() if known - set(tables)}
+        if lacking:
+            raise ValueError(f"companies lack tables that others have: {lacking}")
         settings = {(ledger.posted_state, ledger.opening_month) for ledger in companies.values()}
         if len(settings) > 1:
             raise ValueError("companies with different state or opening-month codes cannot be combined")
@@ -68,7 +71,7 @@ class Ledger:
                 DataFrame.unionByName,
                 [tables[table].withColumn(COMPANY, F.lit(name)) for name, tables in parts.items()],
             )
-            for table in common
+            for table in known
         }
         return replace(
             cls(posted_state=first.posted_state, opening_month=first.opening_month, scope=(COMPANY,)), **combined

@@ -7,12 +7,15 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import exists
+
 
 def newest_export(spark: SparkSession, folder: str, pattern: str = "*") -> str:
-    """Path of the export modified last; equal times are settled by name.
+    """Path of the finished export modified last; equal times are settled by name.
 
-    The binary source lists files without opening them as long as the content column is not asked for, and the
-    newest one is found on the executors.
+    The binary source lists files without opening them as long as the content column is not asked for, and they are
+    ordered on the executors. An export that is a directory is finished once it holds ``_SUCCESS``, which Spark
+    writes last; until then the one before it counts.
     """
     folder = folder.rstrip("/")
     files = (
@@ -23,10 +26,14 @@ def newest_export(spark: SparkSession, folder: str, pattern: str = "*") -> str:
     )
     below = re.sub(r"^[a-z0-9]+:/+", "/", folder, flags=re.IGNORECASE)
     name = F.regexp_extract("path", re.escape(below) + "/([^/]+)", 1)
-    newest = files.agg(F.max(F.struct("modificationTime", name.alias("name"))).alias("newest")).first()["newest"]
-    if newest is None:
-        raise FileNotFoundError(f"no file matching {pattern} in {folder}")
-    return f"{folder}/{newest['name']}"
+    exports = files.groupBy(name.alias("name")).agg(
+        F.max("modificationTime").alias("at"), F.bool_or(~F.endswith("path", F.concat(F.lit("/"), name))).alias("in_parts")
+    )
+    for export in exports.orderBy(F.desc("at"), F.desc("name")).toLocalIterator():
+        path = f"{folder}/{export['name']}"
+        if not export["in_parts"] or exists(spark, f"{path}/_SUCCESS"):
+            return path
+    raise FileNotFoundError(f"no finished export matching {pattern} in {folder}")
 
 
 def load_newest(

@@ -43,6 +43,9 @@ ERP_COLUMNS = {
     "product_templates": "id BIGINT, name STRING",
 }
 
+# The year of a voucher as the source spells it, where that is text; added by cleaning.
+YEAR_KEY = "cpbano_key"
+
 # Table names in the source databases.
 LEDGER_TABLES = {
     "lines": "cwmovim",

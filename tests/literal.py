@@ -19,7 +19,7 @@ def money(value):
     return None if value is None else Decimal(str(value)).quantize(Decimal("0.01"))
 
 
-def line(num="1", mes="01", pct="5-1", cc="01-11", dga="03-1", aux="101", ttd="FV", debe=0, haber=0, **other):
+def line(num="1", mes="01", pct="5-1", cc="70-11", dga="03-1", aux="101", ttd="FV", debe=0, haber=0, **other):
     row = {
         "cpbano": 2020, "cpbnum": num, "areacod": "A", "cpbmes": mes, "pctcod": pct, "cccod": cc, "dgacod": dga,
         "codaux": aux, "ttdcod": ttd, "numdoc": "77", "movfe": JAN, "movfv": FEB, "movtipdocref": "FV",
@@ -36,7 +36,7 @@ def header(num="1", est="V", mes="01", **other):
     return {**row, **other}
 
 
-CENTERS = [("01-11", "CC 11 ABCD   "), ("01-12", "CC 12 LONGNAME"), ("01-36", "CC 36 ABCD   ")]
+CENTERS = [("70-11", "CC 11 ABCD   "), ("70-12", "CC 12 LONGNAME"), ("70-36", "CC 36 ABCD   ")]
 DETAILS = [("03-1", "Wages"), ("05-1", "Freight")]
 ACCOUNTS = [("5-1", "Spending"), ("4-1", "Billing"), ("1-1", "Current")]
 

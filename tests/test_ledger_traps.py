@@ -69,7 +69,7 @@ def test_excluded_prefix_drops_missing_codes_too(spark):
     assert rows(picked, "gastos") == [(1.0,)]
 
 
-BILLING = {"spent": "5-1", "billed": "4-1", "centers": one_of("01-11", "01-12", "01-36")}
+BILLING = {"spent": "5-1", "billed": "4-1", "centers": one_of("70-11", "70-12", "70-36")}
 
 
 @pytest.mark.parametrize("single_pass", [True, False])
@@ -80,14 +80,14 @@ def test_billed_without_spending_has_no_key_unless_asked(spark, single_pass):
             line(mes="01", pct="5-1", debe=100),
             line(mes="01", pct="4-1", haber=30),
             line(mes="02", pct="4-1", haber=5),
-            line(mes="03", pct="4-1", haber=6, cc="01-12"),
+            line(mes="03", pct="4-1", haber=6, cc="70-12"),
             line(mes="04", pct="5-1", debe=7),
         ],
     )
     plain = balances.spent_vs_billed(data, **BILLING, single_pass=single_pass)
     assert rows(plain, "mes", "ano", "gastos_afectos", "facturado_neto", "gastos_por_facturar", "vessel", "cc") == [
-        ("01", 2020, 100.0, -30.0, 70.0, "11 ABCD", "01-11"),
-        ("04", 2020, 7.0, 0.0, 7.0, "11 ABCD", "01-11"),
+        ("01", 2020, 100.0, -30.0, 70.0, "11 ABCD", "70-11"),
+        ("04", 2020, 7.0, 0.0, 7.0, "11 ABCD", "70-11"),
         (None, None, 0.0, -11.0, -11.0, None, None),
     ]
     keyed = balances.spent_vs_billed(data, **BILLING, keyed=True, single_pass=single_pass)
@@ -112,9 +112,9 @@ def test_single_pass_equals_the_join_on_odd_keys(spark, keyed):
             line(mes="06", pct="5-1", debe=5, cc="03"),
             line(mes="06", pct="4-1", haber=6, cc="03"),
             line(mes="07", pct="4-1", haber=7, cc="03"),
-            line(mes="08", pct="5-1", debe=None, cc="01-11"),
+            line(mes="08", pct="5-1", debe=None, cc="70-11"),
         ],
-        centers=[("01-11", "CC 11 ABCD"), ("02", None), ("03", "a SAMENAM"), ("03", "b SAMENAM"), ("03", "b SAMENAM")],
+        centers=[("70-11", "CC 11 ABCD"), ("02", None), ("03", "a SAMENAM"), ("03", "b SAMENAM"), ("03", "b SAMENAM")],
     )
     params = {"spent": "5-1", "billed": "4-1", "keyed": keyed}
     fast = rows(balances.spent_vs_billed(data, **params))
@@ -136,11 +136,11 @@ def test_equal_lines_count_each_in_a_listing(spark):
 def test_same_tail_under_two_centers_stays_apart(spark):
     data = ledger(
         spark,
-        [line(cc="01-11", dga="05-1", debe=1), line(cc="01-99", dga="05-1", debe=2)],
-        centers=[("01-11", "X ABCDEFG"), ("01-99", "Y ABCDEFG")],
+        [line(cc="70-11", dga="05-1", debe=1), line(cc="70-99", dga="05-1", debe=2)],
+        centers=[("70-11", "X ABCDEFG"), ("70-99", "Y ABCDEFG")],
     )
-    report = balances.import_costs(data, accounts="5-1", centers=starts_with("01"), details="05-1")
-    assert rows(report, "cc", "vessel", "gastos") == [("01-11", "ABCDEFG", 1.0), ("01-99", "ABCDEFG", 2.0)]
+    report = balances.import_costs(data, accounts="5-1", centers=starts_with("70"), details="05-1")
+    assert rows(report, "cc", "vessel", "gastos") == [("70-11", "ABCDEFG", 1.0), ("70-99", "ABCDEFG", 2.0)]
 
 
 def test_document_in_two_groups_appears_twice(spark):
@@ -222,14 +222,14 @@ def test_month_sales_of_an_unknown_product_are_kept(spark):
 def test_padded_codes_and_text_years_are_cleaned(spark):
     raw = ledger(spark, [line(debe=1)])
     raw = raw.with_tables(
-        lines=raw.lines.withColumn("cccod", F.lit("01-11  ")).withColumn("cpbano", F.lit("2020")),
+        lines=raw.lines.withColumn("cccod", F.lit("70-11  ")).withColumn("cpbano", F.lit("2020")),
         headers=raw.headers.withColumn("cpbest", F.lit("V ")).withColumn("cpbano", F.lit("2020")),
     )
     cleaned = clean_ledger(raw)
     assert dict(cleaned.lines.dtypes)["cpbano"] == "int"
-    assert rows(lines.payroll_lines(cleaned, accounts="5-1", centers="01-11"), "saldo") == [(1.0,)]
+    assert rows(lines.payroll_lines(cleaned, accounts="5-1", centers="70-11"), "saldo") == [(1.0,)]
     # A description keeps its blanks.
-    assert rows(cleaned.centers.where("codicc = '01-11'"), "desccc") == [("CC 11 ABCD   ",)]
+    assert rows(cleaned.centers.where("codicc = '70-11'"), "desccc") == [("CC 11 ABCD   ",)]
 
 
 def test_staged_tables_keep_companies_and_odd_years(spark, tmp_path):
@@ -279,7 +279,33 @@ def test_staged_journal_gives_the_same_reports(spark, tmp_path):
 
 
 def test_read_takes_declared_columns_in_any_case(spark, tmp_path):
-    source = frame(spark, [("01-11", "CC")], "CODICC STRING, DESCCC STRING").withColumn("OTHER", F.lit(1))
+    source = frame(spark, [("70-11", "CC")], "CODICC STRING, DESCCC STRING").withColumn("OTHER", F.lit(1))
     source.write.parquet(str(tmp_path / "cwtccos"))
     data = Ledger.read(spark, str(tmp_path), {"centers": "cwtccos"})
     assert data.centers.columns == ["codicc", "desccc"]
+
+
+def test_vouchers_whose_year_is_no_number_stay(spark, tmp_path):
+    raw = ledger(spark, [line(debe=1), line(num="2", debe=2)], headers=[header(), header(num="2")])
+    spelled = F.when(F.col("cpbnum") == "2", F.lit("FY20 ")).otherwise(F.lit("2020  "))
+    raw = raw.with_tables(
+        lines=raw.lines.withColumn("cpbano", spelled), headers=raw.headers.withColumn("cpbano", F.rtrim(spelled))
+    )
+    for cleaned in (clean_ledger(raw), stage_ledger(raw, str(tmp_path / "staged"))):
+        found = balances.account_month_balance(cleaned)
+        assert sorted(rows(found, "ano", "gastos"), key=str) == [(2020, 1.0), (None, 2.0)]
+        assert rows(balances.account_month_balance(cleaned, years=2020), "gastos") == [(1.0,)]
+
+
+def test_empty_tables_are_staged_with_their_columns(spark, tmp_path):
+    raw = ledger(spark, [line(debe=1)])
+    empty = raw.with_tables(lines=raw.lines.where("cpbano < 0"))
+    staged = stage_ledger(empty, str(tmp_path / "staged"))
+    assert staged.lines.columns == raw.lines.columns and rows(balances.account_month_balance(staged)) == []
+
+
+def test_a_table_missing_in_one_company_is_named(spark):
+    whole = ledger(spark, [line(debe=1)])
+    part = Ledger(**{name: df for name, df in whole.tables().items() if name != "details"})
+    with pytest.raises(ValueError, match="b.*details"):
+        Ledger.combine({"a": whole, "b": part})

@@ -7,18 +7,23 @@ from contextlib import contextmanager
 from dataclasses import replace
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from tallyloom.functions.criteria import starts_with
 from tallyloom.operators.changes import changed_rows, latest_per_key
-from tallyloom.operators.journal import journal, stage_journal
+from tallyloom.operators.journal import journal, stage_journal, staged_journal
+from tallyloom.operators.snapshots import SnapshotStore
+from tallyloom.operators.sorting import newest_first
 from tallyloom.plans import balances, lines, replica
 from tallyloom.plans.replicate import Replica
+from tallyloom.registry import QUERIES
+from tallyloom.session import sized_shuffles
 from tallyloom.sources import standin
 from tallyloom.sources.jdbc import jdbc_options
 from tallyloom.sources.ledger import Ledger
+from tests import literal
 from tests.literal import erp, ledger, line
 
 FOLDER = "/root/testdata/sf0.001"
@@ -48,9 +53,9 @@ def settings(spark, **values):
 NO_BROADCAST = {"spark__sql__autoBroadcastJoinThreshold": "-1"}
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_multiplies_tables_or_runs_python(spark, name):
-    text = physical(driver.queries()[name](spark, FOLDER))
+    text = physical(QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "Python" not in text and "FlatMapGroups" not in text
 
@@ -128,7 +133,7 @@ def hot_voucher(spark, count=60_000):
     key_columns = [F.lit(2020).alias("cpbano"), number, F.lit("A").alias("areacod")]
     wide = F.repeat(F.md5(F.col("id").cast("string")), 4)
     journal_lines = ids.select(
-        *key_columns, F.lit("01").alias("cpbmes"), F.lit("5-1").alias("pctcod"), F.lit("01-11").alias("cccod"),
+        *key_columns, F.lit("01").alias("cpbmes"), F.lit("5-1").alias("pctcod"), F.lit("70-11").alias("cccod"),
         F.lit("03-1").alias("dgacod"), F.lit("101").alias("codaux"), F.lit("FV").alias("ttdcod"),
         F.lit("1").alias("numdoc"), F.lit(None).cast("timestamp_ntz").alias("movfe"),
         F.lit(None).cast("timestamp_ntz").alias("movfv"), F.lit("").alias("movtipdocref"),
@@ -163,12 +168,12 @@ def test_hot_voucher_is_split(spark):
 def test_hot_cost_center_is_split(spark):
     data = hot_voucher(spark)
     centers = spark.range(5000).select(
-        F.when(F.col("id") == 0, F.lit("01-11")).otherwise(F.concat(F.lit("c"), F.col("id"))).alias("codicc"),
+        F.when(F.col("id") == 0, F.lit("70-11")).otherwise(F.concat(F.lit("c"), F.col("id"))).alias("codicc"),
         F.lit("d").alias("desccc"),
     )
     mixed = data.lines.withColumn(
         "cccod",
-        F.when(F.abs(F.hash("movglosa")) % 3 == 0, F.lit("01-11")).otherwise(
+        F.when(F.abs(F.hash("movglosa")) % 3 == 0, F.lit("70-11")).otherwise(
             F.concat(F.lit("c"), F.abs(F.hash("movglosa")) % 4999 + 1)
         ),
     )
@@ -209,7 +214,7 @@ def test_hot_partition_is_written_as_several_files(spark, tmp_path):
     data = hot_voucher(spark)
     with settings(spark, **SKEW):
         stage_journal(data, str(tmp_path / "journal"))
-    files = list((tmp_path / "journal" / "cpbano=2020").glob("*.parquet"))
+    files = list((tmp_path / "journal").glob("version-*/cpbano=2020/*.parquet"))
     assert len(files) > 3
 
 
@@ -232,3 +237,101 @@ def test_jdbc_scan_is_split_into_ranges():
     assert jdbc_options("jdbc:x", "dbo.lines")["dbtable"] == "dbo.lines"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", split_column="id")
+
+
+def sort_partitions(df):
+    """The rows in each partition of the plan's last exchange, which deals out a sorted report."""
+    return [n for n in df.rdd.glom().map(len).collect() if n]
+
+
+@pytest.mark.parametrize("name", ["receivables", "issued_documents"])
+def test_a_hot_voucher_is_split_in_the_sort(spark, name):
+    """One voucher, date, counterparty and account holds every line, and half of the lines are equal throughout."""
+    ids = spark.range(0, 40_000, 1, 8)
+    hot = ids.select(
+        *[F.lit(v).cast(t).alias(k) for k, v, t in (
+            ("cpbano", 2020, "int"), ("cpbnum", "1", "string"), ("areacod", "A", "string"), ("cpbmes", "01", "string"),
+            ("pctcod", "5-1", "string"), ("cccod", "70-11", "string"), ("dgacod", "03-1", "string"), ("codaux", "101", "string"),
+            ("ttdcod", "FV", "string"),
+        )],
+        F.when(F.col("id") % 2 == 0, F.col("id")).otherwise(F.lit(1)).cast("string").alias("movglosa"),
+        F.lit(1).cast("decimal(18,2)").alias("movdebe"),
+        F.lit(0).cast("decimal(18,2)").alias("movhaber"),
+    )
+    small = literal.ledger(spark, [literal.line()])
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.lines.schema.fields if f.name not in hot.columns]
+    data = small.with_tables(lines=hot.select("*", *missing).select(*small.lines.columns))
+    with settings(spark, **{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        if name == "receivables":
+            report = lines.receivables(data, accounts="5-1", counterparties="101")
+        else:
+            report = lines.issued_documents(data, vessel="v", counterparties="101")
+        sizes = sort_partitions(report)
+    assert sum(sizes) == 40_000 and max(sizes) < 20_000
+
+
+def test_a_partitioned_snapshot_is_sorted_once_and_reads_in_order(spark, tmp_path):
+    rows = spark.range(2000).select((F.col("id") % 3).alias("vessel"), (F.col("id") * 37 % 2000).alias("n"))
+    store = SnapshotStore(spark, str(tmp_path))
+    store.write("r", newest_first(rows, "n"), ["vessel"], [F.col("n").desc()])
+    for vessel in range(3):
+        for path in (tmp_path / "reports" / "r" / "a" / f"vessel={vessel}").glob("*.parquet"):
+            found = [r["n"] for r in spark.read.parquet(str(path)).collect()]
+            assert found == sorted(found, reverse=True) and found
+    dealt = newest_first(rows, "n").hint("rebalance", "vessel").sortWithinPartitions("vessel")
+    assert "rangepartitioning" not in physical(dealt)
+
+
+def test_an_account_filter_skips_row_groups_of_the_staged_journal(spark, tmp_path):
+    data = hot_voucher(spark)
+    accounts = F.concat(F.lit("5-"), F.format_string("%03d", F.pmod(F.hash("movglosa"), F.lit(500))))
+    data = data.with_tables(lines=data.lines.withColumn("pctcod", accounts))
+    staged = stage_journal(data, str(tmp_path / "journal"))
+    groups = []
+    for path in (tmp_path / "journal").glob("version-*/cpbano=*/*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index("pctcod")
+        groups += [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+    pages = [s.min <= s.max for s in groups]
+    assert pages and staged.journal.count() == data.lines.count()
+    for path in (tmp_path / "journal").glob("version-*/cpbano=*/*.parquet"):
+        codes = pq.read_table(path, columns=["pctcod"])["pctcod"].to_pylist()
+        assert codes == sorted(codes)
+
+
+def test_a_failed_restage_leaves_the_journal_readable(spark, tmp_path):
+    data = literal.ledger(spark, [literal.line(debe=1)])
+    path = str(tmp_path / "journal")
+    first = stage_journal(data, path)
+    broken = data.lines.withColumn("movdebe", F.raise_error(F.lit("source is gone")).cast("decimal(18,2)"))
+    with pytest.raises(Exception, match="source is gone"):
+        stage_journal(data.with_tables(lines=broken), path)
+    assert first.journal.count() == 1 and staged_journal(data, path).journal.count() == 1
+    stage_journal(literal.ledger(spark, [literal.line(debe=1), literal.line(debe=2)]), path)
+    assert first.journal.count() == 1 and staged_journal(data, path).journal.count() == 2
+    stage_journal(data, path)
+    assert len(list((tmp_path / "journal").glob("version-*"))) <= 3
+    with pytest.raises(LookupError):
+        staged_journal(data, str(tmp_path / "none"))
+
+
+def test_shuffles_are_sized_by_what_is_scanned(spark, tmp_path):
+    rows = spark.range(200_000)
+    rows.write.parquet(str(tmp_path / "t"))
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    table = spark.read.parquet(str(tmp_path / "t"))
+    with sized_shuffles(table.join(table.withColumnRenamed("id", "x"), F.col("id") == F.col("x")), target_bytes=10_000) as n:
+        assert n > 100 and spark.conf.get(key) == str(n)
+    assert spark.conf.get(key, None) == before
+    with sized_shuffles(table) as n:
+        assert n == int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_product_groups_are_dealt_out_for_products_once(spark):
+    data = standin.erp(spark, "/root/testdata/sf0.001")
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plan = physical(replica.product_movements(data))
+    assert len(re.findall(r"Exchange \(\d+\)\n|Exchange hashpartitioning|Exchange rangepartitioning", plan)) > 0
+    assert sum("hashpartitioning(product_id" in row for row in plan.splitlines() if row.startswith("Arguments")) <= 2
+    assert sum("hashpartitioning(p_id" in row for row in plan.splitlines()) == 0

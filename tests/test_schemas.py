@@ -17,7 +17,7 @@ PARAMS = {
     "intercompany_ledger": {"accounts": "1-1", "counterparties": "101"},
     "voucher_balance": {"accounts": "1-1"},
     "spent_vs_billed": {"spent": "5-1", "billed": "4-1"},
-    "import_costs": {"accounts": "5-1", "centers": "01-11", "details": "05-1"},
+    "import_costs": {"accounts": "5-1", "centers": "70-11", "details": "05-1"},
     "cash_basis_balance": {"accounts": [1]},
 }
 

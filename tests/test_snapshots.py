@@ -78,7 +78,7 @@ def test_job_writes_every_target_and_logs_every_report(spark, store, tmp_path):
     calls = [
         ReportCall(("current", "year"), balances.account_month_balance),
         ReportCall("bad", lambda tables: tables.lines.select("no_such_column")),
-        ReportCall("detail", lines.expense_detail, {"centers": "01-11"}),
+        ReportCall("detail", lines.expense_detail, {"centers": "70-11"}),
     ]
     done = run_job(store, data, calls, journal_path=str(tmp_path / "journal"), stop_on_error=False)
     assert done == {"current": 2, "year": 2, "bad": None, "detail": 2}
@@ -119,3 +119,41 @@ def test_newest_export_of_several_part_files_is_whole(spark, tmp_path):
 def test_empty_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         newest_export(spark, str(tmp_path))
+
+
+def test_an_unfinished_export_is_passed_over(spark, tmp_path):
+    numbers(spark, 1, 2).write.parquet(str(tmp_path / "a-old"))
+    numbers(spark, 3).write.parquet(str(tmp_path / "b-new"))
+    (tmp_path / "b-new" / "_SUCCESS").unlink()
+    for path in (tmp_path / "a-old").iterdir():
+        os.utime(path, (1_600_000_000,) * 2)
+    assert load_newest(spark, str(tmp_path), "parquet", "*.parquet").count() == 2
+    (tmp_path / "a-old" / "_SUCCESS").unlink()
+    with pytest.raises(FileNotFoundError, match="no finished export"):
+        newest_export(spark, str(tmp_path), "*.parquet")
+
+
+@pytest.mark.parametrize("step", [0, -60])
+def test_the_last_run_is_current_whatever_the_clock_says(spark, tmp_path, step):
+    moments = (datetime(2024, 1, 1) + timedelta(seconds=step * n) for n in range(1000))
+    store = SnapshotStore(spark, str(tmp_path / "store"), clock=lambda: next(moments))
+    for n in range(5):
+        store.write("r", numbers(spark, n))
+        assert rows(store.read("r")) == [(n,)]
+
+
+def test_the_log_keeps_every_run_in_a_bounded_number_of_files(spark, store, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.operators.runlog.FOLD_EVERY", 3)
+    for n in range(11):
+        store.write("r/s", numbers(spark, n))
+    store.write("other", numbers(spark, 1))
+    assert len(list((tmp_path / "store" / "run_log").rglob("*.parquet"))) <= 2 * 3 + 1 + 2
+    assert store.log().where("report = 'r/s'").count() == 22
+    assert rows(store.read("r/s")) == [(10,)]
+
+
+def test_a_long_error_is_logged_whole(spark, store):
+    text = "e" * 20_000
+    with pytest.raises(ValueError):
+        store.write("r", lambda: (_ for _ in ()).throw(ValueError(text)))
+    assert latest_runs(store.log()).first()["message"] == f"ValueError: {text}"
