@@ -227,7 +227,9 @@ def near_duplicates(
     sizes = surveyed.where("slice is null").select("doc", "size", "ranges")
     named = rows.where("doc is not null")
     table = prefix_rows(named, n, percent, slot_counts(surveyed))
-    group = Window.partitionBy("gram", "salt").orderBy("place", "doc")
+    # The same order in every group, so that the n-grams of a document mostly have one and the same smallest partner.
+    smallest = [size_of(F.col("place")), F.col("doc")]
+    group = Window.partitionBy("gram", "salt").orderBy(*smallest)
     shared = stored(
         table.withColumns(
             {
@@ -239,7 +241,7 @@ def near_duplicates(
         .where("salt > 0 or not alone")
         .drop("alone")
     )
-    top = Window.partitionBy("gram").orderBy("place", "doc")
+    top = Window.partitionBy("gram").orderBy(*smallest)
     heads = (
         shared.where("salt > 0 and doc = pivot")
         .withColumns({"pivot": F.first("doc").over(top), "pivot_place": F.first("place").over(top)})
