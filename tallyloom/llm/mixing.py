@@ -12,8 +12,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.llm.storage import stored
+
 HEX_DIGITS = 13  # 52 bits, which a double holds
 FULL = float(16**HEX_DIGITS)
+# Up to so many rows of a source's name and rate are broadcast.
+FEW_SOURCES = 10_000
+SALTS = 64
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -58,7 +63,9 @@ def source_rates(
     for name, value in (weights or {}).items():
         given = F.when(F.col("__source") == name, F.lit(float(value))).otherwise(given)
     size = size.where("size > 0").withColumn("weight", given)
-    all_size, all_weight = (size.agg(F.sum(c)).scalar() for c in ("size", "weight"))
+    # Sums of exact numbers, so that the order of addition doesn't show in the last digit.
+    all_size = size.agg(F.sum(F.col("size").cast("decimal(38,0)")).cast("double")).scalar()
+    all_weight = size.agg(F.sum(F.col("weight").cast("decimal(28,12)")).cast("double")).scalar()
     return size.select(
         "__source", (F.lit(float(epochs)) * F.col("weight") / all_weight * all_size / F.col("size")).alias("rate")
     )
@@ -84,9 +91,15 @@ def mix_sources(
     """
     added = ("rate", "n_copies", "copy", "shuffle_key")
     names = [c for c in docs.columns if c not in added]
-    rates = source_rates(docs, weights, epochs, source, text, default_weight).withColumn("__steps", poisson_steps(F.col("rate")))
+    rates = stored(source_rates(docs, weights, epochs, source, text, default_weight))
     keyed = docs.select(names).withColumn("__source", F.coalesce(F.col(source).cast("string"), F.lit("")))
-    drawn = keyed.join(rates, "__source").withColumn("__u", uniform(seed, F.col(doc_id)))
+    if rates.limit(FEW_SOURCES + 1).count() <= FEW_SOURCES:
+        joined = keyed.join(F.broadcast(rates), "__source")
+    else:  # too many to send to every task: a source is dealt over salts, so that a large one isn't one task
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        salted = keyed.withColumn("__salt", F.pmod(F.xxhash64(doc_id), F.lit(SALTS)).cast("int"))
+        joined = salted.join(rates.withColumn("__salt", salts), ["__source", "__salt"]).drop("__salt")
+    drawn = joined.withColumn("__steps", poisson_steps(F.col("rate"))).withColumn("__u", uniform(seed, F.col(doc_id)))
     copies = drawn.withColumn("n_copies", F.size(F.filter("__steps", lambda step: step <= F.col("__u"))).cast("long"))
     return (
         copies.where("n_copies > 0")

@@ -128,7 +128,7 @@ with size as (
         case s {" ".join(f"when '{k}' then {v}::double" for k, v in MIX_WEIGHTS.items())} else {MIX_DEFAULT_WEIGHT}::double end as weight
     from size where size > 0
 ), rates as (
-    select s, 1.0::double * weight / (select sum(weight) from given) * (select sum(size) from given) / size as rate from given
+    select s, 1.0::double * weight / (select sum(weight::decimal(28,12))::double from given) * (select sum(size) from given) / size as rate from given
 ), terms as (
     select s, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) as term
     from rates, lateral (select unnest(range(0, ceil(rate + 10 * sqrt(rate) + 40)::bigint + 1)) as k) t
