@@ -114,6 +114,13 @@ def test_sources_reach_their_weights(spark):
     assert len(counts) > 10  # Poisson(10.5), not a constant
 
 
+def test_many_sources_are_salted_and_draw_the_same(spark, monkeypatch):
+    frame = spark.createDataFrame([(i, "x" * 10, f"s{i % 7}") for i in range(700)], "doc_id long, text string, source string")
+    few = [tuple(r) for r in mixing.mix_sources(frame, {"s1": 5.0}).collect()]
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 3)
+    assert [tuple(r) for r in mixing.mix_sources(frame, {"s1": 5.0}).collect()] == few and len(few) > 400
+
+
 def test_poisson_steps_of_large_rates(spark):
     steps = spark.range(1).select(mixing.poisson_steps(F.lit(2000.0))).head()[0]
     assert steps[0] == 0 and abs(steps[2000] - 0.506) < 0.001 and abs(steps[-1] - 1) < 1e-9
