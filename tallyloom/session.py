@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import cache
 from uuid import uuid4
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every report relies on for skewed keys and for picking join strategies by measured size.
@@ -107,8 +108,9 @@ def run_folder(spark: SparkSession, name: str = "tallyloom") -> str:
     path = f"{shared_folder(spark)}/{name}/{uuid4().hex}"
 
     def clean() -> None:
-        if spark.sparkContext._jsc is not None:
-            remove_folder(spark, path)
+        with suppress(Py4JError, OSError):  # the JVM may have gone first
+            if spark.sparkContext._jsc is not None:
+                remove_folder(spark, path)
 
     atexit.register(clean)
     return path
