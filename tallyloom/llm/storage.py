@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.session import shared_folder
+from tallyloom.session import run_folder
 
 
 def stored(frame: DataFrame) -> DataFrame:
     """The rows, written once as Parquet to the shared folder and read from there, so that no executor's loss undoes the work."""
-    path = f"{shared_folder(frame.sparkSession)}/tallyloom-llm/{uuid4().hex}"
+    path = run_folder(frame.sparkSession, "tallyloom-llm")
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
