@@ -2,7 +2,8 @@
 
 A text is the vector of its hashed byte n-grams, weighted by TF-IDF and scaled to length 1. Each language has several
 centroids, found by clustering its training vectors by cosine. A text gets the language of its nearest centroid, and is
-rejected where it lies further from that centroid than the furthest text the language was learned from, by a margin.
+rejected where it lies further from that centroid, by a margin, than all but the oddest texts of its length lie from centroids
+of their own language that they had no part in.
 
 The model is fitted on a bounded sample, of which only the vectors come to the driver: ``train_docs`` in all, dealt evenly
 over at most ``max_langs`` languages and chosen by a hash of the id. Prediction is one pass without a shuffle.
@@ -26,6 +27,9 @@ DIMS = 1 << 13
 SEED = 1
 CHUNK = 4 << 20
 UNDETERMINED = "und"
+# The share of a language's texts that may be anything (mislabelled, other scripts, code), how many texts of about
+# one length are needed to tell, and the size classes: the binary digits of a text's number of n-grams.
+ODD, TELLING, SIZES = 0.01, 100, 40
 LETTER = re.compile(r"[^\W\d_]")
 # Bytes that are no letters count as space; A-Z count as a-z.
 SPACE = np.full(1, 32, np.uint8)
@@ -54,7 +58,7 @@ def ngram_counts(data: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``centroids``: a row each, of length 1; ``langs``, ``limits``: of each row; ``idf``: of each dimension."""
+    """``centroids``: a row each, of length 1; ``langs``: of each row; ``limits``: of each row and size class; ``idf``: of each dimension."""
 
     langs: list[str]
     centroids: np.ndarray
@@ -75,12 +79,21 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return vectors
 
 
+def size_class(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.frexp(counts.sum(axis=1).astype(float))[1], SIZES - 1)
+
+
 def clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
-    """The centroids of spherical k-means, which starts from vectors that are far apart."""
+    """The centroids of spherical k-means, which starts from vectors that are far apart.
+
+    The very furthest may be no text of the language at all: seeds leave twice ``ODD`` of the vectors further off, and what
+    gathers but a few of many vectors is no centroid.
+    """
     centroids = vectors.mean(axis=0, keepdims=True)
     centroids /= max(np.linalg.norm(centroids), 1e-9)
     while len(centroids) < min(k, len(vectors)):
-        centroids = np.vstack([centroids, vectors[(vectors @ centroids.T).max(axis=1).argmin()]])
+        far = np.argsort((vectors @ centroids.T).max(axis=1), kind="stable")
+        centroids = np.vstack([centroids, vectors[far[int(2 * ODD * len(vectors))]]])
     near = (vectors @ centroids.T).argmax(axis=1)
     for _ in range(rounds):
         sums = np.stack([vectors[near == i].sum(axis=0) for i in range(len(centroids))])
@@ -89,7 +102,43 @@ def clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         if len(centroids) == len(sums) and (moved == near).all():
             break
         near = moved
-    return centroids
+    held = np.bincount((vectors @ centroids.T).argmax(axis=1), minlength=len(centroids))
+    least = max(len(vectors) // 64, 2 if len(vectors) >= 8 else 1)
+    return centroids[held >= min(least, held.max())]
+
+
+def left_out(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """The cosine of each vector with the nearest centroid as it is without that vector; NaN for the only one."""
+    cosines = vectors @ centroids.T
+    near = cosines.argmax(axis=1)
+    sums = np.stack([vectors[near == i].sum(axis=0) for i in range(len(centroids))])
+    own = np.einsum("ij,ij->i", vectors, sums[near]).astype(float)
+    rest = np.einsum("ij,ij->i", sums, sums)[near] - 2 * own + 1
+    alone = np.bincount(near, minlength=len(centroids))[near] == 1
+    cosines[np.arange(len(near)), near] = np.where(alone, np.nan, (own - 1) / np.sqrt(np.maximum(rest, 1e-9)))
+    return np.where(np.isnan(cosines).all(axis=1), np.nan, np.nanmax(np.nan_to_num(cosines, nan=-1), axis=1))
+
+
+def limits_by_size(sizes: np.ndarray, cosines: np.ndarray, langs: np.ndarray, margin: float) -> dict[str, np.ndarray]:
+    """Each language's limit by size class: a low quantile of its own texts' cosines, less the margin.
+
+    How cosines fall with length and how far they scatter is told by the texts of all languages, for each class by its own texts
+    and as many of the next classes as it takes; a language's level is the median of its texts against that. Without
+    any two texts of one language the limit is ``margin`` itself.
+    """
+    told = ~np.isnan(cosines)
+    if not told.any():
+        return {name: np.full(SIZES, margin) for name in set(langs)}
+    sizes, cosines, owner = sizes[told], np.maximum(cosines[told], 1e-6), langs[told]
+    around = []
+    for size in range(SIZES):
+        apart = np.abs(sizes - size)
+        around.append(apart <= np.sort(apart)[min(TELLING, len(apart)) - 1])
+    middle = np.array([np.median(cosines[a]) for a in around])
+    levels = {name: float(np.median((cosines / middle[sizes])[owner == name])) for name in set(owner)}
+    scatter = cosines / (middle[sizes] * np.array([levels[name] for name in owner]))
+    low = np.array([np.quantile(scatter[a], ODD) for a in around])
+    return {name: (1 - margin) * levels.get(name, 1.0) * middle * low for name in set(langs)}
 
 
 def fit(
@@ -102,17 +151,18 @@ def fit(
     centroids: int = 4,
     margin: float = 0.3,
 ) -> Model:
-    """A model from ``labelled``, whose rows with a null language or text count for nothing.
+    """A model from ``labelled``, whose rows with a null language or a text without any letter count for nothing.
 
-    ``train_docs`` and ``max_langs`` bound what the driver gets; the most frequent languages are learned. A language's limit is
-    ``margin`` times the least cosine of any of its texts with the nearest of its centroids. Without any labelled row the model knows no language.
+    ``train_docs`` and ``max_langs`` bound what the driver gets; the most frequent languages are learned, from texts with different
+    n-grams. A language's limit for texts of one size lies ``margin`` of it below the cosine that nearly all of its own such
+    texts reach (``limits_by_size``). Without any labelled row the model knows no language.
     """
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
     if not sizes:
-        return Model([], np.zeros((0, DIMS), np.float32), np.zeros(0), np.ones(DIMS, np.float32))
+        return Model([], np.zeros((0, DIMS), np.float32), np.zeros((0, SIZES)), np.ones(DIMS, np.float32))
     each = max(1, train_docs // len(sizes))
     share = F.lit(0.0)
     for row in sizes:
@@ -138,22 +188,25 @@ def fit(
         rows.where(place < share).select("text", "lang").mapInArrow(count, "lang string, dims binary, counts binary")
         .limit(2 * train_docs).collect()
     )
-    sample.sort(key=lambda r: (r["lang"], bytes(r["dims"]), bytes(r["counts"])))
+    sample = sorted({(r["lang"], bytes(r["dims"]), bytes(r["counts"])) for r in sample})
     counts = np.zeros((len(sample), DIMS), np.float32)
     for i, row in enumerate(sample):
-        counts[i, np.frombuffer(row["dims"], np.uint16)] = np.frombuffer(row["counts"], np.uint32)
+        counts[i, np.frombuffer(row[1], np.uint16)] = np.frombuffer(row[2], np.uint32)
+    sizes_of = size_class(counts)
     df = np.count_nonzero(counts, axis=0)
     idf = (np.log((1 + len(sample)) / (1 + df)) + 1).astype(np.float32)
     vectors = weighted(counts, idf)
-    labels = np.array([r["lang"] for r in sample])
-    langs, middles, limits = [], [], []
+    labels = np.array([r[0] for r in sample])
+    langs, middles, cosines = [], [], np.full(len(sample), np.nan)
     for name in sorted(set(labels)):
         own = vectors[labels == name]
         middle = clusters(own, centroids)
         langs += [str(name)] * len(middle)
         middles.extend(middle)
-        limits += [margin * float((own @ middle.T).max(axis=1).min())] * len(middle)
-    return Model(langs, np.array(middles, np.float32).reshape(-1, DIMS), np.array(limits), idf)
+        cosines[labels == name] = left_out(own, middle)
+    limits = limits_by_size(sizes_of, cosines, labels, margin)
+    by_centroid = np.array([limits[name] for name in langs]).reshape(-1, SIZES)
+    return Model(langs, np.array(middles, np.float32).reshape(-1, DIMS), by_centroid, idf)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -185,11 +238,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             todo = np.flatnonzero(lettered) if m.langs else []
             for at in range(0, len(todo), 128):
                 some = todo[at : at + 128]
-                near = m.vectors(np.stack([ngram_counts(data[bounds[i] : bounds[i + 1]]) for i in some])) @ m.centroids.T
+                counts = np.stack([ngram_counts(data[bounds[i] : bounds[i + 1]]) for i in some])
+                near = m.vectors(counts) @ m.centroids.T
                 best = near.argmax(axis=1)
                 pred[some] = [m.langs[i] for i in best]
                 score[some] = np.clip(near[np.arange(len(some)), best].astype(float), 0, 1)
-                rejected[some] = score[some] < np.maximum(m.limits[best], 1e-6)
+                rejected[some] = score[some] < np.maximum(m.limits[best, size_class(counts)], 1e-6)
             added = [pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "lang_pred", "score", "rejected"])
 

@@ -112,3 +112,18 @@ def test_the_sample_is_bounded(spark):
     rows = [(1, f"word{i} and more", "en") for i in range(500)]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=20)
     assert set(model.langs) <= {"en"}
+
+
+@pytest.mark.parametrize("withheld", ["de", "en", "es", "fr"])
+def test_an_unknown_language_is_rejected(spark, withheld):
+    """One language is withheld, and each of the others has labelled junk without letters."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.createDataFrame([(-i, t, lang) for i, t in enumerate(["", "12 34", "?! --", "—"], 1) for lang in ("de", "en", "es", "fr")], docs.schema)
+    known = F.crc32(F.col("doc_id").cast("string")) % 2 == 1
+    model = langid.fit(docs.where(known).union(junk).where(F.col("lang") != withheld), train_docs=4096)
+    rows = langid.identify(docs.where(~known), model).collect()
+    others = [r for r in rows if r.lang != withheld]
+    unknown = [r for r in rows if r.lang == withheld and len(r.text) > 500]
+    assert sum(r.lang_pred == r.lang for r in others) > 0.97 * len(others)
+    assert sum(r.rejected for r in others) <= 0.02 * len(others)
+    assert len(unknown) > 20 and sum(r.rejected for r in unknown) > 0.95 * len(unknown)
