@@ -64,10 +64,13 @@ BIAS, PER_CHAR, MOST_CHARS, PER_LINK, SENTENCE, HEADING = -0.5, 0.012, 250, -5.0
 ADJACENT, APART, SIBLING = 1.2, 0.3, 0.6
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>?")
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s/=>][^\s/=>]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+READ = frozenset("class id role hidden style aria-hidden".split())
 WORD = re.compile(r"[a-zA-Z]+(?:-[a-zA-Z]+)*")
 # Words that say what a page has or lacks elsewhere, as "has-sidebar" on a wrapper of the whole page.
 LAYOUT = re.compile(r"(?:has|with|without|no|is)-")
+# Class names that say what a post is about, as "category-legal"; on an article they say nothing about its place on the page.
+TOPIC = re.compile(r"(?:post-)?(?:category|categories|cat|tags?|topics?|subject|term|taxonomy|type|author)-")
 
 
 class Node:
@@ -79,19 +82,43 @@ class Node:
         self.tag, self.odds, self.in_link, self.in_article, self.number = tag, odds, in_link, in_article, number
 
 
+def attributes_of(raw: str) -> dict[str, str]:
+    """The values, in lower case, of those attributes that count; of repeated ones the first holds."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(raw):
+        name = m[1].lower()
+        if name in READ:
+            found.setdefault(name, unescape(m[2] or m[3] or m[4] or "").lower())
+    return found
+
+
+def undisplayed(style: str) -> bool:
+    declared = (x.partition(":") for x in style.split(";"))
+    return any(name.strip() == "display" and value.split("!")[0].strip() == "none" for name, _, value in declared)
+
+
+def name_odds(names: list[str], in_article: bool) -> list[float]:
+    """The odds of the listed words in class names or the like, and in their parts."""
+    named = (w for name in names for w in WORD.findall(name) if not LAYOUT.match(w))
+    words = {part for word in named for part in (word, *word.split("-"))}
+    return [WORD_ODDS[w] for w in words if w in WORD_ODDS and not (w == "header" and in_article)]
+
+
 def own_odds(tag: str, attributes: str, in_article: bool) -> float:
     odds = TAG_ODDS.get(tag, 0.0)
     if tag == "header" and in_article:
         odds = 0.0  # the heading of the article itself
     if attributes and tag not in ("html", "body"):
-        for name, *values in ATTRIBUTE.findall(attributes):
-            value, name = "".join(values).lower(), name.lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+        for name, value in attributes_of(attributes).items():
+            if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and undisplayed(value):
                 odds -= 16.0
             elif name in ("class", "id", "role"):
-                named = (w for w in WORD.findall(value.replace("_", "-")) if not LAYOUT.match(w))
-                words = {part for word in named for part in (word, *word.split("-"))}
-                found = [WORD_ODDS[w] for w in words if w in WORD_ODDS and not (w == "header" and in_article)]
+                names = value.replace("_", "-").split()
+                if name == "class" and any(TOPIC.match(x) for x in names):
+                    others = [x for x in names if not TOPIC.match(x)]
+                    if tag in ("article", "main") or max(name_odds(others, in_article), default=0.0) > 0:
+                        names = others
+                found = name_odds(names, in_article)
                 odds += min(found, default=0.0) if min(found, default=0.0) < 0 else max(found, default=0.0)
     return odds
 

@@ -53,6 +53,31 @@ def test_comments_inside_the_article_go():
     assert html.main_text(page) == "The text of the article, long enough to count."
 
 
+@pytest.mark.parametrize(
+    "start",
+    [
+        '<div data-title="The hidden valley">', '<div data-overflow="hidden">', '<div data-hidden="false">', '<div data-id="comments">',
+        "<div title='class=sidebar'>", '<div data-class=menu x-style="display:none">', '<div style="--display: none; display: block">',
+        '<article class="post category-legal tag-cookies">', '<main class="tag-2020-cookies">', '<div class="hentry post post_tag-social type-post">',
+    ],
+)
+def test_what_only_looks_like_a_boilerplate_attribute(start):
+    tag = re.match(r"<(\w+)", start)[1]
+    assert html.main_text(PAGE % f"{start}{BODY}</{tag}>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<div hidden>", "<div title=x HIDDEN=''>", '<div style="color: red; display : none !important">', "<div aria-hidden=true>", "<div data-x='y'class=sidebar>",
+        '<div id="comments" id="content">', '<article class="comment tag-x">', '<div class="category-menu">', '<div class="share&#45;bar">',
+    ],
+)
+def test_boilerplate_attributes(start):
+    tag = re.match(r"<(\w+)", start)[1]
+    assert html.main_text(f"{start}{BODY}</{tag}>") == ""
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "a"), (1, "", "b"), (2, "<<< <p", "c"), (3, "<!-- never closed", "d"), (4, "<p>" + "word " * 50_000, "e")]
     rows += [(5, "<div>" * 3000 + "deep" + "</div>" * 10, "f"), (6, "a < b and b > c &amp; &#65; &nosuch; &#xD800;", "g")]
