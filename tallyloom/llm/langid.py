@@ -6,7 +6,7 @@ rejected where it lies further from that centroid, by a margin, than all but the
 of their own language that they had no part in.
 
 The model is fitted on a bounded sample, of which only the vectors come to the driver: ``train_docs`` in all, dealt evenly
-over at most ``max_langs`` languages and chosen by a hash of the id. Prediction is one pass without a shuffle.
+over at most ``max_langs`` languages and chosen by a hash of id and text. Prediction is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -164,29 +164,54 @@ def fit(
     if not sizes:
         return Model([], np.zeros((0, DIMS), np.float32), np.zeros((0, SIZES)), np.ones(DIMS, np.float32))
     each = max(1, train_docs // len(sizes))
-    share = F.lit(0.0)
-    for row in sizes:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, each / row["count"]))).otherwise(share)
-    place = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30)) / float(1 << 30)
+    learned = [row["lang"] for row in sizes]
+    placed = rows.where(F.col("lang").isin(learned)).withColumn("place", F.xxhash64(F.lit(SEED), "id", "text"))
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The least hashes of each language that a task has read, copies once.
+        best = {name: np.zeros(0, np.int64) for name in learned}
+        for batch in batches:
+            names, places = batch.column(0).dictionary_encode(), batch.column(1).to_numpy()
+            codes = names.indices.to_numpy()
+            order = np.argsort(codes, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(codes[order])) + 1):
+                if len(own):
+                    name = names.dictionary[int(codes[own[0]])].as_py()
+                    best[name] = np.unique(np.concatenate([best[name], places[own]]))[:each]
+        found = {name: x for name, x in best.items() if len(x)}
+        langs = np.repeat(np.array(list(found), object), [len(x) for x in found.values()])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(langs, pa.string()), pa.array(np.concatenate([np.zeros(0, np.int64), *found.values()]))], ["lang", "place"]
+        )
+
+    ranks = "lang string, place long"
+    kept_places = placed.select("lang", "place").mapInArrow(least, ranks).repartition("lang").mapInArrow(least, ranks)
+    last = {r["lang"]: r["last"] for r in kept_places.groupBy("lang").agg(F.max("place").alias("last")).collect()}
+    up_to = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[str, int]] = set()  # at most the sample
         for batch in by_size(batches, "text"):
+            keys = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            new = {key: i for i, key in reversed(list(enumerate(keys))) if key not in seen}
+            seen.update(new)
+            batch = batch.take(pa.array(sorted(new.values()), pa.int64()))
             data, bounds = text_bytes(batch.column(0))
             found = [ngram_counts(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             kept = [np.flatnonzero(c) for c in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(1),
+                    batch.column(2),
                     pa.array([k.astype(np.uint16).tobytes() for k in kept], pa.binary()),
                     pa.array([np.minimum(c[k], 2**32 - 1).astype(np.uint32).tobytes() for c, k in zip(found, kept, strict=True)], pa.binary()),
                 ],
-                ["lang", "dims", "counts"],
+                ["lang", "place", "dims", "counts"],
             )
 
-    # Twice the sample is reached only where many rows share an id; then any of them will do.
     sample = (
-        rows.where(place < share).select("text", "lang").mapInArrow(count, "lang string, dims binary, counts binary")
-        .limit(2 * train_docs).collect()
+        placed.where(F.col("place") <= up_to).select("text", "lang", "place")
+        .mapInArrow(count, "lang string, place long, dims binary, counts binary").dropDuplicates(["lang", "place"]).collect()
     )
     sample = sorted({(r["lang"], bytes(r["dims"]), bytes(r["counts"])) for r in sample})
     counts = np.zeros((len(sample), DIMS), np.float32)

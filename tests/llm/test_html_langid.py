@@ -152,3 +152,11 @@ def test_an_unknown_language_is_rejected(spark, withheld):
     assert sum(r.lang_pred == r.lang for r in others) > 0.97 * len(others)
     assert sum(r.rejected for r in others) <= 0.02 * len(others)
     assert len(unknown) > 20 and sum(r.rejected for r in unknown) > 0.95 * len(unknown)
+
+
+def test_every_language_is_learned(spark):
+    """Hundreds of languages with few sampled rows each; many rows are copies of one another."""
+    rows = [(i, f"word{chr(97 + i % 26)} and {i}", f"l{i % 300}") for i in range(6000)] + [(7, "copy of one text", "l7")] * 3000
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(frame, train_docs=600)
+    assert set(model.langs) == {f"l{i}" for i in range(300)}
