@@ -61,7 +61,7 @@ class Words:
 class TestItems:
     """A block of test items: their words, and the start and length of every window."""
 
-    def __init__(self, ids: list[str], texts: pa.Array, window: int) -> None:
+    def __init__(self, ids: list[str | None], texts: pa.Array, window: int) -> None:
         self.ids, self.words = ids, Words.of(texts)
         sizes = np.diff(self.words.bounds)
         counts = np.where(sizes >= window, sizes - window + 1, (sizes > 0).astype(np.int64))
@@ -195,10 +195,8 @@ def longest(at: np.ndarray, which: np.ndarray, items: TestItems) -> np.ndarray:
 
 
 def test_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list]:
-    """The items' ids and texts, in blocks of about ``block_bytes``; each block is collected on its own. Null ids are left out."""
-    rows = items.where(F.col(item_id).isNotNull()).select(
-        F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    """The items' ids and texts, in blocks of about ``block_bytes``; each block is collected on its own. An id may be null."""
+    rows = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 16)).head()[0] or 0
     blocks = -(-size // block_bytes)
     for i in range(blocks):
@@ -219,8 +217,8 @@ def find_contamination(
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. ``hit_spans`` are
     the [from, to) word spans of the document that any occurrence of a window covers, merged; ``items`` the ids, as sorted
     text, of the items whose windows occur; ``longest_match`` the words of the longest verbatim match (0 for none). A null
-    or wordless text has no words and no hits. Items that share an id count as one; an item without id, and no items at
-    all, match nothing. Repeated documents are judged one by one; columns of the added names are replaced.
+    or wordless text has no words and no hits. Items that share an id count as one; those without id count for all but
+    ``items``. No items at all match nothing. Repeated documents are judged one by one; columns of the added names are replaced.
     """
     names = [c for c in docs.columns if c not in ADDED]
     span = T.ArrayType(T.LongType())
@@ -260,7 +258,8 @@ def find_contamination(
                     spans[d] = edge.reshape(-1, 2).tolist()
                 doc = words.text_of(at)
                 for d, i in np.unique(np.stack([doc, test.item[which]]), axis=1).T:
-                    ids[d].add(test.ids[i])
+                    if test.ids[i] is not None:
+                        ids[d].add(test.ids[i])
                 np.maximum.at(longest_of, doc, longest(at, which, test))
                 values = [np.diff(words.bounds), spans, [sorted(x) for x in ids], longest_of]
                 kept = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name not in ADDED]

@@ -49,3 +49,14 @@ def test_no_items_no_documents(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination.decontaminate(docs, none).count() == docs.count()
     assert contamination.find_contamination(docs.limit(0), none).count() == 0
+
+
+@pytest.mark.parametrize("block", [1 << 20, 40])
+def test_items_without_id_count_except_in_the_list(spark, block):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "e f c d"), (3, "g h"), (4, None)], "doc_id long, text string")
+    tests = spark.createDataFrame([(None, "A, b"), (None, "e f"), (None, None), (9, "c d")], "item_id long, text string")
+    found = contamination.find_contamination(docs, tests, block_bytes=block)
+    rows = {r.doc_id: (r.hit_spans, r["items"], r.longest_match) for r in found.collect()}
+    assert rows == {1: ([[0, 4]], ["9"], 2), 2: ([[0, 4]], ["9"], 2), 3: ([], [], 0), 4: ([], [], 0)}
+    without_ids = tests.where("item_id is null")
+    assert {r.doc_id for r in contamination.decontaminate(docs, without_ids, block_bytes=block).collect()} == {3, 4}
