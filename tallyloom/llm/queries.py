@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, repeats, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, negatives, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +120,12 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", noisy)
+    return negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 OP1_SQL = f"""
 with size as (
     select coalesce(source, '') as s, sum(coalesce(length(text), 0))::double as size from documents group by 1
@@ -185,6 +191,27 @@ with rules(verdict, host, path) as (
 select page_id, s.host, s.path, b.rule, coalesce(b.verdict, 'allow') as verdict from split s left join best b using (page_id)
 """
 
+OP11_SQL = """
+with kept as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(x::double * 256)::bigint::hugeint) as vec
+    from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+        coalesce(list_sum(list_transform(list_zip(a.vec, r.vec), lambda p: p[1] * p[2])), 0)::bigint as score
+    from kept a join kept r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id, row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::int as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on s.anchor_id = p.anchor_id and not same
+    and 80 * positive_score <= 100 * score and score <= positive_score
+qualify rank <= 5
+"""
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -196,9 +223,11 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op6_line_dedup": OP6_SQL,
     "op8_url_filter": OP8_SQL,
+    "op11_hard_negatives": OP11_SQL,
 }
