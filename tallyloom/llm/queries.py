@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, negatives, repeats, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, negatives, repeats, trie, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +126,11 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, convs = trie.share_heads(table(spark, folder, "conversations"))
+    return trie.prefix_trie(turns, convs).expanded().drop("node")
+
+
 OP1_SQL = f"""
 with size as (
     select coalesce(source, '') as s, sum(coalesce(length(text), 0))::double as size from documents group by 1
@@ -212,6 +217,47 @@ from positives p join scored s on s.anchor_id = p.anchor_id and not same
 qualify rank <= 5
 """
 
+# CRC-32 bit by bit: of each byte, eight steps of the reversed polynomial.
+SQL_CRC32 = """xor(list_reduce([4294967295] || flatten(list_transform(range(1, len(c::varchar) + 1),
+    lambda i: [ascii(substr(c::varchar, i, 1))::bigint, 0, 0, 0, 0, 0, 0, 0])),
+    lambda a, b: case when xor(a, b) & 1 = 1 then xor(xor(a, b) >> 1, 3988292384) else xor(a, b) >> 1 end), 4294967295)"""
+
+OP13_SQL = f"""
+with raw as (
+    select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) as r,
+        coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations where conv_id is not null
+), conv as (
+    select c, count(*) as n, {SQL_CRC32} % 9 as h, c - c % 5 as base from raw group by c
+), known as (
+    select k.*, least(k.h, coalesce(b.n, 0)) as taken from conv k left join conv b on b.c = k.base
+), turns as (
+    select k.c, r as d, role, text from known k join raw on raw.c = k.base and r <= h
+    union all
+    select k.c, r - h + taken, role, text from known k join raw on raw.c = k.c and r > h
+), paths as (
+    select c, d, octet_length(encode(text)) as b,
+        string_agg(sha256(role) || sha256(text), '') over (partition by c order by d rows unbounded preceding) as path
+    from turns
+    union all
+    select c, 0, 0, '' from conv
+), node as (
+    select path, min(d) as depth, min(c) as conv_id, count(*) as n_convs, min(b) as b from paths group by path
+), finish as (
+    select path, string_agg(c::varchar, ',' order by c) as ids from paths p
+    where d = (select max(d) from paths q where q.c = p.c) group by path
+), kids as (
+    select left(path, len(path) - 128) as path, count(*) as n from node where depth > 0 group by 1
+), under as (
+    select left(n.path, 128 * k) as path, count(*) filter (kids.n is null) as n_leaves, sum((n_convs - 1) * b) as saved
+    from node n left join kids using (path), lateral (select unnest(range(0, n.depth + 1)) as k) t group by 1
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(kids.n, 0)::bigint as n_children,
+    n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(ids, '')) as ends_sha256
+from node n join under using (path) left join kids using (path) left join finish using (path)
+left join node p on n.depth > 0 and p.path = left(n.path, len(n.path) - 128)
+"""
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -224,10 +270,12 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op6_line_dedup": OP6_SQL,
     "op8_url_filter": OP8_SQL,
     "op11_hard_negatives": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
