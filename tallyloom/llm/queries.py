@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, negatives, repeats, trie, urls
+from tallyloom.llm import chat, contamination, fingerprints, html, jaccard, langid, lines, mixing, negatives, oddsketch, repeats, trie, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +126,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.mine_hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op12_odd_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    return oddsketch.near_duplicates(table(spark, folder, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns, convs = trie.share_heads(table(spark, folder, "conversations"))
     return trie.prefix_trie(turns, convs).expanded().drop("node")
@@ -270,6 +274,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_fingerprints": op9_fingerprints,
     "op10_language_id": op10_language_id,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_odd_sketches": op12_odd_sketches,
     "op13_prefix_trie": op13_prefix_trie,
 }
 LLM_ORACLE_SQL: dict[str, str] = {
