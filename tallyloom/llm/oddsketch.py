@@ -30,32 +30,49 @@ from tallyloom.llm.textbytes import BASE, U64, by_size, mix
 SAMPLES, BANDS, ROWS = 256, 32, 5
 BITS = 1024
 SIGMAS = 6
-MOST_AT_ONCE = 1 << 15
+PIECE = 1 << 15
 SKETCH_KIND = "doc long, size int, a long, b long, bands binary, sketch binary, parity binary"
 SEEDS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64) * U64(BASE))
+ODD = mix(SEEDS) | U64(1)
 
 
-def minhashes(hashes: np.ndarray) -> np.ndarray:
-    """``SAMPLES`` least values of the set, each under an order of its own: an odd multiple of the hash after an exclusive or."""
-    least = np.full(SAMPLES, ~U64(0))
-    for at in range(0, len(hashes), MOST_AT_ONCE):
-        part = hashes[at : at + MOST_AT_ONCE]
+def minhashes(sets: list[np.ndarray]) -> np.ndarray:
+    """``SAMPLES`` least values of each set, each under an order of its own: an odd multiple of the hash after an exclusive or.
+
+    All sets go by together, in pieces that stay in a core's cache.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    least = np.full((len(sets), SAMPLES), ~U64(0))
+    filled = np.flatnonzero(sizes)
+    ends = np.cumsum(sizes)[filled]
+    starts = ends - sizes[filled]
+    whole = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    for at in range(0, len(whole), PIECE):
+        part = whole[at : at + PIECE]
+        first, last = np.searchsorted(ends, at, "right"), np.searchsorted(starts, at + len(part), "left")
+        cuts, own = np.maximum(starts[first:last] - at, 0), filled[first:last]
+        found, buffer = np.empty((len(own), SAMPLES), np.uint64), np.empty_like(part)
         for i in range(SAMPLES):
-            least[i] = min(least[i], ((part ^ SEEDS[i]) * (SEEDS[i - 1] | U64(1))).min())
+            np.bitwise_xor(part, SEEDS[i], out=buffer)
+            np.multiply(buffer, ODD[i], out=buffer)
+            found[:, i] = np.minimum.reduceat(buffer, cuts)
+        least[own] = np.minimum(least[own], found)
     return least
 
 
-def odd_sketch(least: np.ndarray) -> bytes:
+def odd_sketches(least: np.ndarray) -> list[bytes]:
     spots = mix(least + np.arange(SAMPLES, dtype=np.uint64) * U64(BASE)) & U64(BITS - 1)
-    flips = np.bincount(spots.astype(np.int64), minlength=BITS) & 1
-    return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
+    spots = spots.astype(np.int64) + np.arange(len(least))[:, None] * BITS
+    flips = np.bincount(spots.ravel(), minlength=len(least) * BITS).reshape(-1, BITS) & 1
+    return [row.tobytes() for row in np.packbits(flips.astype(np.uint8), axis=1, bitorder="little")]
 
 
-def band_keys(least: np.ndarray) -> bytes:
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in least[: BANDS * ROWS].reshape(BANDS, ROWS).T:
-        keys = mix(keys ^ column) * U64(BASE)
-    return keys.tobytes()
+def band_keys(least: np.ndarray) -> list[bytes]:
+    samples = least[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(least), axis=0)
+    for i in range(ROWS):
+        keys = mix(keys ^ samples[:, :, i]) * U64(BASE)
+    return [row.tobytes() for row in keys]
 
 
 def estimate(ones: np.ndarray) -> np.ndarray:
@@ -77,9 +94,9 @@ def sketched(docs: DataFrame, n: int) -> DataFrame:
     """One pass over ``docs`` (``doc``, ``text``): of each row its set's size, seal, band keys, odd sketch and parity bitmap."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "text"):
+        for batch in by_size(batches, "text", 1 << 20):
             sets = shingle_sets(batch.column(1), n)
-            least = [minhashes(s) for s in sets]
+            least = minhashes(sets)
             seals = [seal(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -87,8 +104,8 @@ def sketched(docs: DataFrame, n: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([s[0] for s in seals], pa.int64()),
                     pa.array([s[1] for s in seals], pa.int64()),
-                    pa.array([band_keys(m) for m in least], pa.binary()),
-                    pa.array([odd_sketch(m) for m in least], pa.binary()),
+                    pa.array(band_keys(least), pa.binary()),
+                    pa.array(odd_sketches(least), pa.binary()),
                     pa.array([parity(s) for s in sets], pa.binary()),
                 ],
                 ["doc", "size", "a", "b", "bands", "sketch", "parity"],

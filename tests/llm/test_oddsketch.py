@@ -80,13 +80,25 @@ def test_sketches_estimate_high_similarities():
     for similarity in (0.8, 0.85, 0.9, 0.97):
         ones = []
         for _ in range(60):
-            a, b = (oddsketch.odd_sketch(oddsketch.minhashes(s)) for s in overlapping(rng, 400, similarity))
+            a, b = oddsketch.odd_sketches(oddsketch.minhashes(list(overlapping(rng, 400, similarity))))
             ones.append(int(np.bitwise_count(np.frombuffer(a, np.uint64) ^ np.frombuffer(b, np.uint64)).sum()))
         assert abs(float(oddsketch.estimate(np.array(ones)).mean()) - similarity) < 0.02
         assert similarity < 0.85 or max(ones) < oddsketch.most_ones(85)
     assert oddsketch.estimate(np.array([oddsketch.most_ones(85)]))[0] > 0.6
 
 
+def test_samples_of_a_batch_are_those_of_each_set(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (0, 1, 7, 0, 50, 3, 200, 0)]
+    monkeypatch.setattr(oddsketch, "PIECE", 16)
+    found = oddsketch.minhashes(sets)
+    for s, own in zip(sets, found, strict=True):
+        for i in (0, 1, 255):
+            each = [(int(h) ^ int(oddsketch.SEEDS[i])) * int(oddsketch.ODD[i]) % (1 << 64) for h in s]
+            assert int(own[i]) == min(each, default=(1 << 64) - 1)
+    assert oddsketch.minhashes([]).shape == (0, oddsketch.SAMPLES)
+
+
 def test_bitmaps_never_differ_in_more_bits_than_sets_in_elements():
     rng = np.random.default_rng(2)
     for size_a, size_b, common in [(3, 5, 2), (40, 50, 30), (100, 130, 100), (1000, 1300, 900), (0, 4, 0)]:
