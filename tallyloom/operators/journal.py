@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.criteria import keep
+from tallyloom.functions.criteria import differs_from, keep, key_name, meets
 from tallyloom.functions.text import month_number
 from tallyloom.operators.pointer import Versions
 from tallyloom.session import sized_shuffles
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import VOUCHER_KEY, YEAR_KEY
+from tallyloom.sources.schemas import KEY, VOUCHER_KEY, YEAR_KEY
 
 HEADER_MONTH = "header_mes"
 
@@ -30,10 +30,12 @@ def journal(ledger: Ledger) -> DataFrame:
     """
     if ledger.journal is not None:
         return ledger.journal
-    spelled = YEAR_KEY in ledger.lines.columns and YEAR_KEY in ledger.headers.columns
-    keys = [*ledger.scope, *(YEAR_KEY if spelled and key == "cpbano" else key for key in VOUCHER_KEY)]
+    shared = set(ledger.lines.columns) & set(ledger.headers.columns)
+    keys = [*ledger.scope, *(f"{key}{KEY}" if f"{key}{KEY}" in shared else key for key in VOUCHER_KEY)]
+    month = [F.col(f"cpbmes{KEY}").alias(f"{HEADER_MONTH}{KEY}")] if f"cpbmes{KEY}" in ledger.headers.columns else []
+    own = [f"{name}{KEY}" for name in ("cpbtip", "cpbnui", "cpbest") if f"{name}{KEY}" in ledger.headers.columns]
     headers = ledger.headers.select(
-        *keys, F.col("cpbmes").alias(HEADER_MONTH), "cpbtip", "cpbnui", "cpbest", "cpbfec"
+        *keys, F.col("cpbmes").alias(HEADER_MONTH), "cpbtip", "cpbnui", "cpbest", "cpbfec", *month, *own
     )
     return ledger.lines.join(headers, keys).drop(YEAR_KEY)
 
@@ -49,13 +51,13 @@ def journal_lines(ledger: Ledger, *, posted_only: bool = False, **criteria) -> D
     """Journal rows that meet the criteria, given per column (``pctcod=...``, ``cccod=...``)."""
     rows = journal(ledger)
     if posted_only:
-        rows = rows.where(F.col("cpbest") == F.lit(ledger.posted_state))
-    return keep(rows, **criteria)
+        rows = rows.where(meets(rows, "cpbest", ledger.posted_state, ledger.collation))
+    return keep(rows, ledger.collation, **criteria)
 
 
 def without_opening(rows: DataFrame, ledger: Ledger, column: str = "cpbmes") -> DataFrame:
     """Rows outside the opening month, by the line's month or by the header's (``HEADER_MONTH``)."""
-    return rows.where(F.col(column) != F.lit(ledger.opening_month))
+    return rows.where(meets(rows, column, differs_from(ledger.opening_month), ledger.collation))
 
 
 def with_numbered_month(rows: DataFrame) -> DataFrame:
@@ -78,7 +80,7 @@ def stage_journal(ledger: Ledger, path: str) -> Ledger:
     with sized_shuffles(rows):
         (
             rows.hint("rebalance", *partitions)
-            .sortWithinPartitions(*partitions, "pctcod", "cccod")
+            .sortWithinPartitions(*partitions, key_name(rows, "pctcod"), key_name(rows, "cccod"))
             .write.partitionBy(*partitions)
             .parquet(folder)
         )

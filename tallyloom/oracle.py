@@ -411,6 +411,20 @@ ORACLE_SQL: dict[str, str] = {
     "cleaned_ledger_balance": _month_balance(year="case when l.ano <> 1996 then cast(l.ano as varchar) end"),
     "replicated_erp_balance": _account_balance(),
     "staged_ledger_detail": _expense_detail(),
+    "collated_ledger_detail": _sql(
+        "lines headers centers details accounts",
+        f"""select l.mes as mes, l.ano as ano, cast(l.debe - l.haber as double) as gastos,
+                   case l.num % 3 when 1 then lower(l.dga) when 2 then 'Nation' || substr(l.dga, 7) else l.dga end as dgacod,
+                   l.glosa as glosa, l.cc as cccod, c.name as descripcioncc, d.name as descripciondetalle,
+                   case l.num % 3 when 0 then 'a' else 'A' end || l.pct as codigo, a.name as descripcion
+            from lines l {HEADER} {CENTER} {DETAIL} {ACCOUNT} where l.dga like 'NATION_1%' or l.dga = 'NATION_2'""",
+    ),
+    "collated_account_balance": _sql(
+        "lines headers",
+        f"""select l.mes as mes, l.ano as ano, cast(sum(l.debe - l.haber) as double) as gastos,
+                   min(case l.num % 3 when 0 then 'a' else 'A' end || l.pct) as codigo
+            from lines l {HEADER} where l.mes <> '00' and h.est = 'F' group by l.pct, l.mes, l.ano""",
+    ),
     "snapshot_full_refresh": _month_balance(),
     "nan_cleanup": """
         select l_orderkey, l_linenumber, l_quantity, case when l_tax <> 0 then l_tax end as l_tax from lineitem""",

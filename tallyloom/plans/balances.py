@@ -7,11 +7,11 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.criteria import matches
+from tallyloom.functions.criteria import meets
 from tallyloom.functions.money import net_debit, shown, total
 from tallyloom.functions.text import tail_name
 from tallyloom.operators.journal import HEADER_MONTH, journal_lines, without_opening
-from tallyloom.operators.lookups import with_account, with_center, with_detail
+from tallyloom.operators.lookups import by_codes, with_account, with_center, with_detail
 from tallyloom.operators.reconcile import outer_join_sums, single_pass_sums
 from tallyloom.sources.ledger import Ledger
 
@@ -19,9 +19,10 @@ from tallyloom.sources.ledger import Ledger
 def account_month_balance(ledger: Ledger, *, years: Any = None) -> DataFrame:
     """Posted balance of each account and month, the opening month left out."""
     rows = without_opening(journal_lines(ledger, posted_only=True, cpbano=years), ledger)
+    keys, spellings = by_codes(rows, "pctcod", "cpbmes")
     return (
-        rows.groupBy(*ledger.scope, "pctcod", "cpbmes", "cpbano")
-        .agg(shown(total(net_debit())).alias("gastos"))
+        rows.groupBy(*ledger.scope, *keys, "cpbano")
+        .agg(shown(total(net_debit())).alias("gastos"), *spellings)
         .select(
             *ledger.scope,
             F.col("cpbmes").alias("mes"),
@@ -40,13 +41,10 @@ def voucher_balance(ledger: Ledger, *, accounts: Any, counterparties: Any = None
     """
     rows = journal_lines(ledger, posted_only=True, pctcod=accounts, codaux=counterparties)
     rows = with_account(without_opening(rows, ledger, HEADER_MONTH), ledger)
-    keys = [
-        *ledger.scope, "pctcod", "pcdesc", "cpbnum", "cpbtip", "cpbnui", "codaux", "ttdcod", "cpbmes", "cpbano",
-        "movglosa",
-    ]
+    keys, spellings = by_codes(rows, "pctcod", "cpbnum", "cpbtip", "cpbnui", "codaux", "ttdcod", "cpbmes")
     return (
-        rows.groupBy(*keys)
-        .agg(shown(total(net_debit())).alias("saldo"))
+        rows.groupBy(*ledger.scope, *keys, "pcdesc", "cpbano", "movglosa")
+        .agg(shown(total(net_debit())).alias("saldo"), *spellings)
         .select(
             *ledger.scope,
             F.col("pctcod").alias("pccodi"),
@@ -77,16 +75,20 @@ def spent_vs_billed(
     """Spending accounts against billing accounts by month, name in the cost-centre description, and cost centre.
 
     Groups that were only billed have no key of their own and end up in one row of NULL keys; ``keyed=True`` gives
-    them their keys. ``single_pass=False`` computes the two sides apart and joins them.
+    them their keys. ``single_pass=False`` computes the two sides apart and joins them; a collated ledger always takes one
+    pass, in which both sides show a code in the same spelling.
     """
-    is_spent, is_billed = matches(F.col("pctcod"), spent), matches(F.col("pctcod"), billed)
+    rows = journal_lines(ledger, posted_only=True, cccod=centers)
+    is_spent, is_billed = (meets(rows, "pctcod", spec, ledger.collation) for spec in (spent, billed))
     keys = ["cpbano", "cpbmes", "vessel", "cccod"]
 
     def side(rows: DataFrame, *measures) -> DataFrame:
         # Sums per code first, so that the dimension joins see a handful of rows per cost centre and month.
-        per_code = rows.groupBy(*ledger.scope, "cpbmes", "cpbano", "cccod", "dgacod").agg(*[m for m, _ in measures])
+        codes, spellings = by_codes(rows, "cpbmes", "cccod", "dgacod")
+        per_code = rows.groupBy(*ledger.scope, "cpbano", *codes).agg(*[m for m, _ in measures], *spellings)
         named = with_center(with_detail(per_code, ledger), ledger, "desccc")
-        per_center = named.groupBy(*ledger.scope, "cpbmes", "cpbano", "cccod", "desccc").agg(*[m for _, m in measures])
+        codes, spellings = by_codes(named, "cpbmes", "cccod")
+        per_center = named.groupBy(*ledger.scope, "cpbano", *codes, "desccc").agg(*[m for _, m in measures], *spellings)
         return per_center.withColumn("vessel", tail_name("desccc"))
 
     def summed(name, condition):
@@ -95,8 +97,7 @@ def spent_vs_billed(
     def present(name, condition):
         return F.max(condition).alias(name), F.max(name).alias(name)
 
-    rows = journal_lines(ledger, posted_only=True, cccod=centers)
-    if single_pass:
+    if single_pass or ledger.collation is not None:
         groups = side(
             rows.where(is_spent | is_billed),
             summed("spent", is_spent),
@@ -126,12 +127,12 @@ def import_costs(ledger: Ledger, *, accounts: Any, centers: Any, details: Any) -
     """Import costs by month, cost centre and detail. Equal names under different cost centres stay apart."""
     rows = journal_lines(ledger, posted_only=True, pctcod=accounts, cccod=centers, dgacod=details)
     rows = without_opening(rows, ledger, HEADER_MONTH)
-    codes = [*ledger.scope, "cpbmes", "cpbano", "cccod", "dgacod"]
-    per_code = rows.groupBy(*codes).agg(total(net_debit()).alias("net"))
+    codes, spellings = by_codes(rows, "cpbmes", "cccod", "dgacod")
+    per_code = rows.groupBy(*ledger.scope, "cpbano", *codes).agg(total(net_debit()).alias("net"), *spellings)
     named = with_center(with_detail(per_code, ledger), ledger, "desccc")
     return (
-        named.groupBy(*codes, "desccc")
-        .agg(shown(F.sum("net")).alias("gastos"))
+        named.groupBy(*ledger.scope, "cpbano", *codes, "desccc")
+        .agg(shown(F.sum("net")).alias("gastos"), *spellings)
         .select(
             *ledger.scope,
             F.col("cpbmes").alias("mes"),

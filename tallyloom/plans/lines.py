@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.criteria import any_of, differs_from, matches
+from tallyloom.functions.criteria import any_of, differs_from, meets
 from tallyloom.functions.dates import month_of, year_of
 from tallyloom.functions.money import money, net_credit, net_debit, shown, without_vat
 from tallyloom.functions.text import tail_name
@@ -157,7 +157,9 @@ def _documents(ledger: Ledger, groups: Mapping[str, tuple[Any, Any]]) -> DataFra
     conditions = {}
     for vessel, (codes, names) in groups.items():
         parts = [
-            matches(F.col(column), spec) for column, spec in (("codaux", codes), ("nomaux", names)) if spec is not None
+            meets(ledger.counterparties, column, spec, ledger.collation)
+            for column, spec in (("codaux", codes), ("nomaux", names))
+            if spec is not None
         ]
         conditions[vessel] = reduce(or_, parts)
     chosen = tag_groups(ledger.counterparties, conditions, "vessel")

@@ -20,7 +20,7 @@ def sales_documents(
     ledger: Ledger, *, kinds: Any = ("F", "N", "D"), from_year: int | None = None
 ) -> DataFrame:
     """Valid sales documents with their net amount; a missing taxed or exempt part leaves the net empty."""
-    docs = keep(ledger.sales_docs, tipo=kinds).where(F.col("estado") == F.lit(ledger.posted_state))
+    docs = keep(ledger.sales_docs, ledger.collation, tipo=kinds, estado=ledger.posted_state)
     if from_year is not None:
         docs = docs.where(since_year("fecha", from_year))
     return with_counterparty(docs, ledger).select(
@@ -64,7 +64,7 @@ def product_attribute(ledger: Ledger, *, attribute: int = 1, products: Any = Non
     """Products with the value of one attribute, empty for products without it."""
     values = ledger.product_attributes.where(F.col("codtat") == F.lit(attribute))
     rows = look_up(
-        keep(ledger.products, codprod=products),
+        keep(ledger.products, ledger.collation, codprod=products),
         values,
         {"codprod": "codigo"},
         {"valor": "valor"},

@@ -31,6 +31,7 @@ from tallyloom.plans.replicate import Replica, replicate, replicated_erp
 from tallyloom.session import run_folder, tune
 from tallyloom.sources import standin
 from tallyloom.sources.cleaning import clean_ledger, nan_to_null, stage_ledger
+from tallyloom.sources.collation import DATABASE
 from tallyloom.sources.ledger import Ledger
 from tallyloom.sources.newest import load_newest
 from tallyloom.sources.schemas import ERP_TABLES
@@ -217,6 +218,37 @@ def staged_ledger_detail(spark: SparkSession, folder: str) -> DataFrame:
     return lines.expense_detail(staged)
 
 
+def _spelled(spark: SparkSession, folder: str) -> Ledger:
+    """The ledger with codes that each table spells its own way, staged under the collation of the source databases.
+
+    Accounts have a letter in front, in turns large and small; details are in capitals, small or mixed letters; states,
+    details and accounts have trailing blanks here and there.
+    """
+    tidy = standin.ledger(tune(spark), folder)
+    turn = F.col("cpbnum") % 3
+    account = F.concat(F.when(turn == 0, F.lit("a")).otherwise(F.lit("A")), F.col("pctcod"), F.repeat(F.lit(" "), F.col("ttdcod").cast("int")))
+    detail = F.when(turn == 1, F.lower("dgacod")).when(turn == 2, F.initcap("dgacod")).otherwise(F.col("dgacod"))
+    spelled = Ledger(
+        lines=tidy.lines.withColumns({"pctcod": account, "dgacod": detail}),
+        headers=tidy.headers.withColumn("cpbest", F.when(turn == 0, F.concat(F.lower("cpbest"), F.lit("  "))).otherwise(F.col("cpbest"))),
+        centers=tidy.centers,
+        details=tidy.details.withColumn("coddet", F.concat(F.lower("coddet"), F.lit("   "))),
+        accounts=tidy.accounts.withColumn("pccodi", F.concat(F.lit("A"), "pccodi")),
+        posted_state=tidy.posted_state,
+    )
+    return stage_ledger(spelled, f"{run_folder(spark)}/tables", DATABASE)
+
+
+def collated_ledger_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """Expense detail over those tables, for details given in yet another spelling."""
+    return lines.expense_detail(_spelled(spark, folder), details=any_of(starts_with("Nation_1"), one_of("nAtIoN_2  ")))
+
+
+def collated_account_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Posted balances over those tables; spellings of an account are one group."""
+    return balances.account_month_balance(_spelled(spark, folder))
+
+
 def nan_cleanup(spark: SparkSession, folder: str) -> DataFrame:
     """NaN where a line has no tax, turned into NULL."""
     items = standin.table(tune(spark), folder, "lineitem").select(
@@ -374,6 +406,8 @@ OPERATORS: dict[str, Query] = {
     "staged_journal_balance": staged_journal_balance,
     "cleaned_ledger_balance": cleaned_ledger_balance,
     "staged_ledger_detail": staged_ledger_detail,
+    "collated_ledger_detail": collated_ledger_detail,
+    "collated_account_balance": collated_account_balance,
     "nan_cleanup": nan_cleanup,
     "run_log_latest": run_log_latest,
     "incremental_extract": incremental_extract,

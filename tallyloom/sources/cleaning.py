@@ -10,10 +10,8 @@ from tallyloom.functions.money import MONEY
 from tallyloom.operators.pointer import Versions
 from tallyloom.session import sized_shuffles
 from tallyloom.sources.ledger import Ledger
-from tallyloom.sources.schemas import LEDGER_COLUMNS, LEDGER_TABLES, YEAR_KEY
-
-# Columns where a trailing blank is text, not padding.
-DESCRIPTIONS = {"desccc", "desdet", "pcdesc", "desdoc", "nomaux", "movglosa", "desprod", "valor"}
+from tallyloom.sources.collation import Collation, collate_ledger
+from tallyloom.sources.schemas import DESCRIPTIONS, LEDGER_COLUMNS, LEDGER_TABLES, YEAR_KEY
 
 
 def clean_table(df: DataFrame, table: str) -> DataFrame:
@@ -49,13 +47,18 @@ def clean_ledger(raw: Ledger) -> Ledger:
     )
 
 
-def stage_ledger(raw: Ledger, root: str) -> Ledger:
+def stage_ledger(raw: Ledger, root: str, collation: Collation | None = None) -> Ledger:
     """Clean every table and write it once, so that reports read files instead of asking the database each time.
 
+    With a ``collation`` the files also hold the keys by which codes are compared under it.
+
     Lines and headers are written by year and rebalanced, which splits a year that holds most of the rows. The tables of
     a run lie together in a new folder, and the run before stays readable until the one after.
     """
-    cleaned = {name: df for name, df in clean_ledger(raw).tables().items() if name in LEDGER_TABLES}
+    tidy = clean_ledger(raw)
+    if collation is not None:
+        tidy = collate_ledger(tidy, collation)
+    cleaned = {name: df for name, df in tidy.tables().items() if name in LEDGER_TABLES}
     spark = next(iter(cleaned.values())).sparkSession
     versions = Versions(spark, root)
     folder = versions.new()
@@ -72,7 +75,9 @@ def stage_ledger(raw: Ledger, root: str) -> Ledger:
         name: spark.read.schema(df.schema).parquet(f"{folder}/{LEDGER_TABLES[name]}").select(*df.columns)
         for name, df in cleaned.items()
     }
-    return Ledger(**staged, posted_state=raw.posted_state, opening_month=raw.opening_month, scope=raw.scope)
+    return Ledger(
+        **staged, posted_state=raw.posted_state, opening_month=raw.opening_month, scope=raw.scope, collation=collation
+    )
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

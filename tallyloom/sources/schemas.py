@@ -43,6 +43,14 @@ ERP_COLUMNS = {
     "product_templates": "id BIGINT, name STRING",
 }
 
+# Columns whose values are text for readers, not codes.
+DESCRIPTIONS = frozenset(
+    {"desccc", "desdet", "pcdesc", "desdoc", "nomaux", "movglosa", "desprod", "valor"}
+)
+
+# The column beside a code by which a collated ledger compares it.
+KEY = "_key"
+
 # The year of a voucher as the source spells it, where that is text; added by cleaning.
 YEAR_KEY = "cpbano_key"
 
