@@ -67,7 +67,7 @@ class Replica:
                 return None
             raise
 
-    def _layout(self, table: str) -> int:
+    def layout(self, table: str) -> int:
         """The rows of a slot, as the table was created with."""
         path = f"{self.root}/layout/{table}"
         stored = self._there(path, LAYOUT)
@@ -86,7 +86,7 @@ class Replica:
     def _commits(self, table: str) -> DataFrame | None:
         return self._there(f"{self.root}/commits/{table}", COMMITS)
 
-    def _last(self, table: str) -> tuple[int, T.StructType | None]:
+    def last(self, table: str) -> tuple[int, T.StructType | None]:
         """The number of the last commit and the table's columns."""
         commits = self._commits(table)
         row = commits.agg(F.max(F.struct("seq", "schema")).alias("last")).first()["last"] if commits is not None else None
@@ -118,13 +118,42 @@ class Replica:
 
     def read(self, table: str) -> DataFrame:
         """The whole table. A replicated source without rows is an empty table with its columns."""
-        _, schema = self._last(table)
+        _, schema = self.last(table)
         if schema is None:
             raise LookupError(f"{table} has not been replicated yet")
         state = self._state(table)
         some = state.limit(FEW_SLOTS + 1).collect()
         return self._rows(table, schema, state, some if len(some) <= FEW_SLOTS else None).select(*schema.names)
 
+    def read_slots(self, table: str, slots: Sequence[int]) -> DataFrame:
+        """The rows of up to ``FEW_SLOTS`` slots, and nothing else of the table."""
+        _, schema = self.last(table)
+        state = self._state(table).where(F.col(SLOT).isin(list(slots)))
+        return self._rows(table, schema, state, state.collect()).select(*schema.names)
+
+    def replace(self, table: str, slots: Sequence[int], rows: DataFrame, seq: int) -> int:
+        """Up to ``FEW_SLOTS`` slots hold ``rows`` (with their ``slot``) from now on, whatever they held; gives the commit's number.
+
+        ``seq`` is the commit that the rows were made from; if there has been another since, ``ConcurrentWrite`` is raised.
+        """
+        version = uuid4().hex
+        replaced = self._state(table).where(F.col(SLOT).isin(list(slots)))
+        self._write(table, rows, version)
+        columns = T.StructType([f for f in rows.schema.fields if f.name != SLOT])
+        new = self.spark.createDataFrame([(slot,) for slot in slots], f"{SLOT} BIGINT")
+        self._commit(table, seq, new, version, columns, replaced)
+        return seq + 1
+
+    def _write(self, table: str, rows: DataFrame, version: str) -> None:
+        with sized_shuffles(rows):
+            (
+                rows.withColumn(VERSION, F.lit(version))
+                .hint("rebalance", SLOT)
+                .write.mode("append")
+                .partitionBy(SLOT, VERSION)
+                .parquet(self.path(table))
+            )
+
     def merge(self, table: str, delta: DataFrame, ties: Sequence[str] = ()) -> None:
         """Put the rows of ``delta`` into the table by key; repeating a merge changes nothing.
 
@@ -133,12 +162,12 @@ class Replica:
         """
         if not isinstance(delta.schema[self.key].dataType, T.IntegralType):
             raise TypeError(f"the key {self.key} of {table} must be an integer, not {delta.schema[self.key].dataType.simpleString()}")
-        rows = delta.withColumn(SLOT, F.floor(F.col(self.key) / F.lit(self._layout(table))).cast("long"))
+        rows = delta.withColumn(SLOT, F.floor(F.col(self.key) / F.lit(self.layout(table))).cast("long"))
         ordered = rows.select(SLOT).distinct().orderBy(F.col(SLOT).asc_nulls_first())
         touched = [row[0] for row in ordered.limit(FEW_SLOTS + 1).collect()]
         if touched and touched[0] is None:
             raise ValueError(f"a changed row of {table} has no {self.key}")
-        seq, schema = self._last(table)
+        seq, schema = self.last(table)
         if not touched and schema is not None and set(delta.columns) <= set(schema.names):
             return
         version = uuid4().hex
@@ -155,14 +184,7 @@ class Replica:
                 replaced, few = state.join(rows.select(SLOT).distinct(), SLOT), None
             merged = upsert_merge(self._rows(table, schema, replaced, few), rows, [self.key], ties=ties)
         if touched:
-            with sized_shuffles(merged):
-                (
-                    merged.withColumn(VERSION, F.lit(version))
-                    .hint("rebalance", SLOT)
-                    .write.mode("append")
-                    .partitionBy(SLOT, VERSION)
-                    .parquet(self.path(table))
-                )
+            self._write(table, merged, version)
         if len(touched) <= FEW_SLOTS:
             new = self.spark.createDataFrame([(slot,) for slot in touched or [None]], f"{SLOT} BIGINT")
         else:
@@ -192,7 +214,7 @@ class Replica:
             except AnalysisException as error:
                 if error.getCondition() != "PATH_ALREADY_EXISTS":
                     raise
-                if attempt or self._last(table)[0] > seq:
+                if attempt or self.last(table)[0] > seq:
                     raise ConcurrentWrite(f"{table} has been written by someone else since commit {seq}") from error
                 remove_folder(self.spark, path)  # what a writer left that died while it committed
         for row in old:
@@ -220,7 +242,7 @@ def replicate(
     makes harmless. Changes are first landed as files: the merge then works on a fixed batch and never asks the
     source twice; the next run replaces them. If any table fails, the error goes to the caller and the watermark
     stays, so the next run repeats.
-    Rows deleted in the source are not seen, because only write dates are read.
+    Rows deleted in the source are not seen, because only write dates are read; ``plans.repair`` finds them.
     """
     cutoff = now or utc_now()
     since = watermark.read()

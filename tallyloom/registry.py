@@ -27,6 +27,7 @@ from tallyloom.operators.snapshots import SnapshotStore
 from tallyloom.operators.watermark import Watermark
 from tallyloom.plans import balances, lines, replica, sales
 from tallyloom.plans.jobs import ReportCall, run_job
+from tallyloom.plans.repair import repair
 from tallyloom.plans.replicate import Replica, replicate, replicated_erp
 from tallyloom.session import run_folder, tune
 from tallyloom.sources import standin
@@ -312,6 +313,20 @@ def replication(spark: SparkSession, folder: str) -> DataFrame:
     return _invoice_rows(target.read("account_invoice"))
 
 
+def replica_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """A replica that has missed deletes, late rows and a change with an old write date, after a run and a repair."""
+    now = standin.invoices(standin.table(tune(spark), folder, "orders")).where(F.col("id") % 37 != 5)
+    amount = "residual_company_signed"
+    before = standin.invoices(standin.table(spark, folder, "orders")).where(F.col("id") % 4001 != 17)
+    before = before.withColumn(amount, F.when(F.col("id") % 2003 == 3, F.lit(0)).otherwise(F.col(amount)).cast("decimal(18,2)"))
+    root = run_folder(spark)
+    target, mark = Replica(spark, root, slot_rows=5_000), Watermark(spark, f"{root}/watermark")
+    for source in (before, now):
+        replicate(target, {"account_invoice": source}, mark, now=datetime(2004, 1, 1))
+    repair(target, "account_invoice", now)
+    return _invoice_rows(target.read("account_invoice"))
+
+
 def replicated_erp_balance(spark: SparkSession, folder: str) -> DataFrame:
     """All eight tables replicated twice, first with other amounts and names; then a report over the replica."""
     source = standin.erp(tune(spark), folder)
@@ -413,6 +428,7 @@ OPERATORS: dict[str, Query] = {
     "incremental_extract": incremental_extract,
     "upsert_merge": upsert,
     "replication": replication,
+    "replica_repair": replica_repair,
     "replicated_erp_balance": replicated_erp_balance,
     "watermark_advance": watermark_advance,
     "streaming_replication": streaming_replication,
