@@ -10,9 +10,9 @@ well; a criterion of the caller's own that is a plain function meets the code as
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from typing import TYPE_CHECKING, Any
 
 from pyspark.sql import Column, DataFrame
@@ -51,6 +51,25 @@ def starts_with(*prefixes: str) -> Criterion:
     return Criterion(test)
 
 
+@dataclass(frozen=True)
+class Listed:
+    """Membership in a table; see ``listed``."""
+
+    frame: DataFrame
+    pairs: Mapping[str, str]
+    negated: bool = False
+
+
+def listed(frame: DataFrame, column: str, **also: str) -> Listed:
+    """Codes that are listed in ``column`` of a table, which may be of any size.
+
+    Further columns of the rows may be tied to columns of the list: ``listed(chosen, "code", cpbano="year")`` takes a code in the
+    years it is listed for. It becomes a semi join, so that Spark can prune partitions and rows by the list at run time. It
+    can't be part of ``any_of``; put all codes into one table instead.
+    """
+    return Listed(frame, {"": column, **also})
+
+
 def contains(*parts: str, case_sensitive: bool = False) -> Criterion:
     """Substring match; case is ignored by default, as in the databases the ledgers come from."""
     if case_sensitive:
@@ -74,7 +93,9 @@ def any_of(*specs: Any) -> Criterion:
     return Criterion(lambda column, collation: reduce(or_, [matches(column, s, collation) for s in specs]))
 
 
-def excluding(spec: Any) -> Criterion:
+def excluding(spec: Any) -> Criterion | Listed:
+    if isinstance(spec, Listed):
+        return replace(spec, negated=not spec.negated)
     return Criterion(lambda column, collation: ~matches(column, spec, collation))
 
 
@@ -88,6 +109,8 @@ def by_company(specs: Mapping[str, Any], company: str = "company") -> Criterion:
 
 
 def matches(column: Column, spec: Any, collation: Collation | None = None) -> Column:
+    if isinstance(spec, Listed):
+        raise TypeError("a listed criterion is a join; it can't be part of another criterion")
     if isinstance(spec, Criterion):
         return spec(column, collation)
     if callable(spec):
@@ -114,6 +137,22 @@ def meets(df: DataFrame, name: str, spec: Any, collation: Collation | None = Non
 def keep(df: DataFrame, collation: Collation | None = None, **specs: Any) -> DataFrame:
     """Rows whose named columns meet their criteria; None means no condition."""
     for name, spec in specs.items():
-        if spec is not None:
+        if isinstance(spec, Listed):
+            df = in_list(df, name, spec, collation)
+        elif spec is not None:
             df = df.where(meets(df, name, spec, collation))
     return df
+
+
+def in_list(df: DataFrame, name: str, spec: Listed, collation: Collation | None = None) -> DataFrame:
+    """The rows that a list names, or those with a code that it doesn't name."""
+    tests, picked = [], []
+    for i, (row_column, column) in enumerate(spec.pairs.items()):
+        plain = row_column or name
+        own = key_name(df, plain) if collation is not None else plain
+        value = F.col(column) if own == plain else collation.key(F.col(column))
+        picked.append(value.alias(f"__listed{i}"))
+        tests.append(F.col(own) == F.col(f"__listed{i}"))
+        if spec.negated:
+            df = df.where(F.col(own).isNotNull())
+    return df.join(spec.frame.select(*picked), reduce(and_, tests), "left_anti" if spec.negated else "left_semi")

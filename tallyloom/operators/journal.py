@@ -30,14 +30,28 @@ def journal(ledger: Ledger) -> DataFrame:
     """
     if ledger.journal is not None:
         return ledger.journal
+    keys = voucher_keys(ledger)
+    return joined(ledger.lines, header_columns(ledger, keys), keys)
+
+
+def voucher_keys(ledger: Ledger) -> list[str]:
+    """The columns on which lines meet headers: company, year, number and area, each by its key column where both have one."""
     shared = set(ledger.lines.columns) & set(ledger.headers.columns)
-    keys = [*ledger.scope, *(f"{key}{KEY}" if f"{key}{KEY}" in shared else key for key in VOUCHER_KEY)]
-    month = [F.col(f"cpbmes{KEY}").alias(f"{HEADER_MONTH}{KEY}")] if f"cpbmes{KEY}" in ledger.headers.columns else []
-    own = [f"{name}{KEY}" for name in ("cpbtip", "cpbnui", "cpbest") if f"{name}{KEY}" in ledger.headers.columns]
-    headers = ledger.headers.select(
+    return [*ledger.scope, *(f"{key}{KEY}" if f"{key}{KEY}" in shared else key for key in VOUCHER_KEY)]
+
+
+def header_columns(ledger: Ledger, keys: list[str]) -> DataFrame:
+    """What the journal takes from the headers."""
+    present = ledger.headers.columns
+    month = [F.col(f"cpbmes{KEY}").alias(f"{HEADER_MONTH}{KEY}")] if f"cpbmes{KEY}" in present else []
+    own = [f"{name}{KEY}" for name in ("cpbtip", "cpbnui", "cpbest") if f"{name}{KEY}" in present]
+    return ledger.headers.select(
         *keys, F.col("cpbmes").alias(HEADER_MONTH), "cpbtip", "cpbnui", "cpbest", "cpbfec", *month, *own
     )
-    return ledger.lines.join(headers, keys).drop(YEAR_KEY)
+
+
+def joined(lines: DataFrame, headers: DataFrame, keys: list[str]) -> DataFrame:
+    return lines.join(headers, keys).drop(YEAR_KEY)
 
 
 def narrowed(ledger: Ledger, narrow: Callable[[DataFrame], DataFrame]) -> Ledger:

@@ -408,6 +408,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "account_scan": "select p_partkey as id, p_brand as code, p_type as name from part",
     "staged_journal_balance": _month_balance(),
+    "colocated_journal_balance": _month_balance(),
+    "listed_accounts_balance": _voucher_balance(
+        f"(a.pct, l.ano) in (select {_account('p_partkey')}, cast(1995 + p_partkey % 7 as int) from part where p_size = 7)"
+    ),
     "cleaned_ledger_balance": _month_balance(year="case when l.ano <> 1996 then cast(l.ano as varchar) end"),
     "replicated_erp_balance": _account_balance(),
     "staged_ledger_detail": _expense_detail(),

@@ -14,6 +14,7 @@ from tallyloom.functions.criteria import (
     by_company,
     contains,
     excluding,
+    listed,
     more_than,
     one_of,
     starts_with,
@@ -21,6 +22,7 @@ from tallyloom.functions.criteria import (
 from tallyloom.functions.dates import wall_clock
 from tallyloom.functions.money import shown
 from tallyloom.operators.changes import changed_rows, upsert_merge
+from tallyloom.operators.colocated import stage_colocated
 from tallyloom.operators.journal import stage_journal
 from tallyloom.operators.runlog import latest_runs
 from tallyloom.operators.snapshots import SnapshotStore
@@ -188,6 +190,25 @@ def staged_journal_balance(spark: SparkSession, folder: str) -> DataFrame:
     return balances.account_month_balance(staged)
 
 
+def colocated_journal_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """The balance report over lines and headers stored in equal buckets, with vouchers of over six lines kept apart as hot."""
+    source = standin.ledger(tune(spark), folder)
+    return balances.account_month_balance(stage_colocated(source, f"{run_folder(spark)}/books", hot_lines=6))
+
+
+def listed_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of the accounts to report in each year."""
+    parts = standin.table(tune(spark), folder, "part").where(F.col("p_size") == 7)
+    year = (F.col("p_partkey") % 7 + 1995).cast("int")
+    return parts.select(standin.account_code(F.col("p_partkey")).alias("code"), year.alias("year")).distinct()
+
+
+def listed_accounts_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """Voucher balances of the accounts that a table lists for their years, over a staged journal."""
+    staged = stage_journal(standin.ledger(tune(spark), folder), f"{run_folder(spark)}/journal")
+    return balances.voucher_balance(staged, accounts=listed(listed_accounts(spark, folder), "code", cpbano="year"))
+
+
 def cleaned_ledger_balance(spark: SparkSession, folder: str) -> DataFrame:
     """The balance report over raw tables: padded codes, years as strings, money as doubles."""
     spelled = F.concat(F.when(F.col("cpbano") == 1996, F.lit("FY")).otherwise(F.lit("")), F.col("cpbano").cast("string"))
@@ -419,6 +440,8 @@ def report_job_log(spark: SparkSession, folder: str) -> DataFrame:
 OPERATORS: dict[str, Query] = {
     "account_scan": account_scan,
     "staged_journal_balance": staged_journal_balance,
+    "colocated_journal_balance": colocated_journal_balance,
+    "listed_accounts_balance": listed_accounts_balance,
     "cleaned_ledger_balance": cleaned_ledger_balance,
     "staged_ledger_detail": staged_ledger_detail,
     "collated_ledger_detail": collated_ledger_detail,
