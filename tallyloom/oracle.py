@@ -440,7 +440,7 @@ ORACLE_SQL: dict[str, str] = {
     "upsert_merge": _merged(),
     "streaming_replication": _merged(),
     "replication": _merged("write_date > timestamp '2000-01-01'"),
-    "replica_repair": _sql("invoices", f"select {INVOICE_COLUMNS} from invoices where id % 37 <> 5"),
+    "replica_repair": _sql("invoices", f"select {INVOICE_COLUMNS} from invoices i where i.id % 37 <> 5"),
     "watermark_advance": "select max(o_orderdate) as cutoff from orders",
     "newest_snapshot_load": "select * from customer",
     "report_job_log": _sql(
