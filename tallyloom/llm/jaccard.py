@@ -10,8 +10,9 @@ behind the shared one (positional filter), and if the numbers of n-grams in rang
 Candidates are made distinct and verified once, on the whole texts.
 
 No group is expanded into all pairs. First, each document is held against the smallest of those that share an n-gram with
-it, and linked documents are joined into components. Then only pairs whose components still differ are left. A frequent
-n-gram's group is dealt over salts with a smallest document each, and those are held against the smallest of all.
+it, and linked documents are joined into components. A frequent n-gram's group is dealt over salts with a smallest document each,
+and those are held against the smallest of all. Members of a group that still belong to different components after that are
+compared in memory, block by block, so that there is no row for a pair of them (``groups``).
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.contamination import LOWER, run_hashes
+from tallyloom.llm.groups import missing_links, parity, similar
 from tallyloom.llm.storage import connected, stored
 from tallyloom.llm.textbytes import byte_hashes, by_size, mix, text_bytes
 
@@ -77,7 +79,7 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def survey(docs: DataFrame, n: int) -> DataFrame:
-    """One pass: a row with ``size`` and ``ranges`` for each document, and the task's counts by slice of the slots."""
+    """One pass: a row with ``size``, ``ranges`` and ``parity`` for each document, and the task's counts by slice of the slots."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
@@ -91,10 +93,11 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array(ranges, pa.list_(pa.int32())),
+                    pa.array([parity(s) for s in sets], pa.binary()),
                     pa.nulls(len(sets), pa.int32()),
                     pa.nulls(len(sets), pa.binary()),
                 ],
-                ["doc", "size", "ranges", "slice", "counts"],
+                ["doc", "size", "ranges", "parity", "slice", "counts"],
             )
         if counts.any():
             parts = [packed(c) for c in counts.reshape(SLICES, -1)]
@@ -103,13 +106,14 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
                     pa.nulls(SLICES, pa.int64()),
                     pa.nulls(SLICES, pa.int32()),
                     pa.nulls(SLICES, pa.list_(pa.int32())),
+                    pa.nulls(SLICES, pa.binary()),
                     pa.array(range(SLICES), pa.int32()),
                     pa.array(parts, pa.binary()),
                 ],
-                ["doc", "size", "ranges", "slice", "counts"],
+                ["doc", "size", "ranges", "parity", "slice", "counts"],
             )
 
-    return docs.mapInArrow(look, "doc long, size int, ranges array<int>, slice int, counts binary")
+    return docs.mapInArrow(look, "doc long, size int, ranges array<int>, parity binary, slice int, counts binary")
 
 
 def slot_counts(surveyed: DataFrame) -> np.ndarray:
@@ -176,10 +180,6 @@ def size_of(place: Column) -> Column:
     return F.shiftright(place, 32)
 
 
-def position_of(place: Column) -> Column:
-    return place.bitwiseAND(F.lit((1 << 32) - 1))
-
-
 def could_match(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """The suffix filter: n-grams that one document has more of in a range of the hash than the other can't be shared."""
     x = sizes.select(F.col("doc").alias("x"), F.col("ranges").alias("rx"), F.col("size").alias("sx"))
@@ -190,20 +190,17 @@ def could_match(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs whose sets are similar enough, judged on the whole texts; each pair comes with both texts, never a group."""
+    """The pairs whose sets are similar enough, judged on the whole texts; each pair comes with both texts, never a group.
+
+    Where an id has several texts, each of them counts.
+    """
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in by_size(iter([whole]), "text_x", 1 << 20):
-                ys = batch.column(1).to_pylist()
-                fresh = [i for i in range(len(ys)) if i == 0 or ys[i] != ys[i - 1]]  # pairs of one y stand together
-                own = shingle_sets(batch.column(2), n)
-                others = shingle_sets(batch.column(3).take(pa.array(fresh)), n)
-                keep, at = [], -1
-                for i in range(len(ys)):
-                    at += at + 1 < len(fresh) and fresh[at + 1] == i
-                    common = len(np.intersect1d(own[i], others[at], assume_unique=True))
-                    keep.append(common > 0 and 100 * common >= percent * (len(own[i]) + len(others[at]) - common))
+                distinct = batch.column(3).fill_null("").dictionary_encode()  # many pairs have the same y
+                own, others = shingle_sets(batch.column(2), n), shingle_sets(distinct.dictionary, n)
+                keep = [similar(s, others[at], percent) for s, at in zip(own, distinct.indices.to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     texts_x = docs.select(F.col("doc").alias("x"), F.col("text").alias("text_x"))
@@ -220,11 +217,12 @@ def near_duplicates(
     Two documents are linked if 100 times the n-grams they share is at least ``percent`` times those that either has. A-Z
     count as a-z, words are split at ASCII white space. A text with fewer than ``n`` words is one n-gram; a null or wordless
     one has none and is linked with nothing. N-grams are compared by 64-bit hash. Rows that share an id are one document as
-    far as links go, each with its own ``n_shingles``; a row with a null id is linked with nothing and has a null component.
+    far as links go, each with its own ``n_shingles``, and all their texts count; a row with a null id is linked with nothing and
+    has a null component.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     surveyed = stored(survey(rows, n))
-    sizes = surveyed.where("slice is null").select("doc", "size", "ranges")
+    sizes = surveyed.where("slice is null").select("doc", "size", "ranges", "parity")
     named = rows.where("doc is not null")
     table = prefix_rows(named, n, percent, slot_counts(surveyed))
     # The same order in every group, so that the n-grams of a document mostly have one and the same smallest partner.
@@ -251,32 +249,16 @@ def near_duplicates(
         shared.unionByName(heads).where((F.col("doc") != F.col("pivot")) & long_enough)
         .select(F.col("doc").alias("x"), F.col("pivot").alias("y")).distinct()
     )
-    distinct_sizes = sizes.where("doc is not null").dropDuplicates(["doc"])
-    links = stored(verified(could_match(to_pivot, distinct_sizes, percent), named, n, percent))
+    distinct_sizes = sizes.where("doc is not null").select("doc", "size", "ranges").distinct()
+    links = stored(verified(could_match(to_pivot, distinct_sizes, percent).distinct(), named, n, percent).distinct())
     found = connected(links)
 
     # What is left: documents that share an n-gram and still belong to different components.
-    placed = shared.select("gram", "doc", "place").join(found, shared["doc"] == found["node"], "left").select(
-        "gram", "doc", "place", F.coalesce("component", "doc").alias("component")
-    )
-    whole = Window.partitionBy("gram")
-    mixed = placed.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).where("low <> high")
-    x = mixed.select("gram", F.col("doc").alias("x"), F.col("place").alias("px"), F.col("component").alias("cx"))
-    y = mixed.select("gram", F.col("doc").alias("y"), F.col("place").alias("py"), F.col("component").alias("cy"))
-    sx, sy, ix, iy = size_of(F.col("px")), size_of(F.col("py")), position_of(F.col("px")), position_of(F.col("py"))
-    rest = F.least(sx - ix, sy - iy)
-    smaller_first = (sy < sx) | ((sy == sx) & (F.col("y") < F.col("x")))
-    index_prefix = (100 + percent) * (sy - iy) >= 2 * percent * sy
-    left = x.join(y, "gram").where(
-        (F.col("cx") != F.col("cy"))
-        & smaller_first
-        & (100 * sy >= percent * sx)
-        & index_prefix
-        & ((100 + percent) * rest >= percent * (sx + sy))
-    )
-    more = stored(
-        verified(could_match(left.select("x", "y").distinct(), distinct_sizes, percent), named, n, percent)
+    placed = shared.join(found, shared["doc"] == found["node"], "left").select(
+        F.col("gram").alias("bucket"), "doc", F.coalesce("component", "doc").alias("comp")
     )
+    info = sizes.where("doc is not null").select("doc", "size", "parity").distinct()
+    more = missing_links(placed, info, named, lambda t: shingle_sets(t, n), percent)
     final = connected(links.union(more))
     return sizes.join(final, sizes["doc"] == final["node"], "left").select(
         F.col("doc").alias(doc_id), F.col("size").cast("long").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")

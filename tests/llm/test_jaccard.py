@@ -64,3 +64,25 @@ def test_connected_follows_long_paths(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (7, 3), (200, 200), (None, 1)]
     rows = {(r.node, r.component) for r in storage.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert rows == {(i, 0) for i in range(51)} | {(100, 100), (101, 100)}
+
+
+def test_rows_that_share_an_id_and_differ_in_text(spark):
+    a, b = "six words are in this text", "and quite another one is that"
+    rows = [(1, a), (1, b), (2, b), (3, a), (4, None), (1, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(frame).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+def test_near_copies_of_which_few_are_similar(spark):
+    """One family of near copies around the threshold: the rows compared grow with its size, and no link is lost."""
+    rng = random.Random(5)
+    words = [f"t{i}" for i in range(2000)]
+    base, rows = rng.choices(words, k=150), []
+    for i in range(160):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(150)] = rng.choice(words)
+        rows.append((i, " ".join(own)))
+    expected = brute.components(rows)
+    assert len({c for _, c in expected.values()}) > 10
+    assert found(jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == expected
