@@ -4,7 +4,7 @@ Similarity joins put documents into groups (of an n-gram, of a band) such that s
 grow with the square of its size, so they are never rows: a group is dealt to blocks, each pair of blocks is a cell, and a task
 compares the members of a cell in memory. It does so twice. First with parity bitmaps of the sets, of which only members with a
 close partner pass; then with the sets of those, of which only links that join two components pass. Both times there are at most
-as many rows as members of cells.
+as many rows as members of cells. Near copies meet in many groups, so a pair counts in the first that it shares alone.
 
 A parity bitmap has the bit of a hash flipped once for each element, so two bitmaps differ in at most as many bits as their sets
 do in elements: what the comparison of bitmaps rejects can't be similar enough.
@@ -24,6 +24,7 @@ from tallyloom.llm.textbytes import BASE, U64, by_size, mix
 
 BLOCK_ROWS, BLOCK_BYTES = 2048, 8 << 20
 TILE_WORDS = 1 << 21
+STEP = 1024
 MOST_BITS = 1 << 20
 Sets = Callable[[pa.Array], list[np.ndarray]]
 
@@ -65,10 +66,38 @@ def folded(rows: np.ndarray, width: int) -> np.ndarray:
     return rows
 
 
+def met_before(a: pa.Table, b: pa.Table) -> np.ndarray:
+    """Which members of two blocks share a bucket before this one, by their lists of buckets."""
+    found = np.zeros((a.num_rows, b.num_rows), bool)
+    if "others" not in a.column_names:
+        return found
+    flat = []
+    for block in (a, b):
+        lists = block["others"].combine_chunks()
+        owner = np.repeat(np.arange(block.num_rows), lists.value_lengths().to_numpy())
+        earlier = (values := lists.flatten().to_numpy()) < block["bucket"].to_numpy()[owner]
+        flat.append((owner[earlier], values[earlier]))
+    names = np.intersect1d(flat[0][1], flat[1][1])
+    for at in range(0, len(names), STEP):
+        part, marks = names[at : at + STEP], []
+        for block, (owner, values) in zip((a, b), flat, strict=True):
+            place = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[place] == values
+            marks.append(np.zeros((block.num_rows, len(part)), np.float32))
+            marks[-1][owner[hit], place[hit]] = 1
+        found |= (marks[0] @ marks[1].T) > 0
+    return found
+
+
 def close_pairs(
-    left: list[bytes], right: list[bytes], sizes: tuple[np.ndarray, np.ndarray], comps: tuple[np.ndarray, np.ndarray], percent: int
+    left: list[bytes],
+    right: list[bytes],
+    sizes: tuple[np.ndarray, np.ndarray],
+    comps: tuple[np.ndarray, np.ndarray],
+    met: np.ndarray,
+    percent: int,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places of the pairs of different components that sizes and bitmaps don't rule out."""
+    """Places of the pairs of different components, not ``met`` before, that sizes and bitmaps don't rule out."""
     ours, theirs = by_width(left), by_width(right)
     for wa, (ia, a) in ours.items():
         for wb, (ib, b) in theirs.items():
@@ -83,7 +112,8 @@ def close_pairs(
                 apart = np.bitwise_count(x[part, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
                 allowed = most_apart(sa[part, None] + sb[None, :], percent)
                 fits = (apart <= allowed) & (np.abs(sa[part, None] - sb[None, :]) <= allowed)
-                i, j = np.nonzero(fits & (comps[0][ia][part, None] != comps[1][ib][None, :]))
+                fits &= (comps[0][ia][part, None] != comps[1][ib][None, :]) & ~met[np.ix_(ia[part], ib)]
+                i, j = np.nonzero(fits)
                 if len(i):
                     yield ia[part][i], ib[j]
 
@@ -139,7 +169,7 @@ def with_close_partner(members: DataFrame, percent: int) -> DataFrame:
             for a, b in sides(cell):
                 hit_a, hit_b = np.zeros(a.num_rows, bool), np.zeros(b.num_rows, bool)
                 maps = a["parity"].to_pylist(), b["parity"].to_pylist()
-                for i, j in close_pairs(*maps, columns_of(a, b, "size"), columns_of(a, b, "comp"), percent):
+                for i, j in close_pairs(*maps, columns_of(a, b, "size"), columns_of(a, b, "comp"), met_before(a, b), percent):
                     hit_a[i] = hit_b[j] = True
                 for block, hit in ((a, hit_a), (b, hit_b)) if b is not a else ((a, hit_a | hit_b),):
                     if hit.any():
@@ -172,7 +202,7 @@ def links_of(members: DataFrame, percent: int) -> DataFrame:
                 maps = [[parity(s) for s in own] for own in sets]
                 size = tuple(np.array([len(s) for s in own], np.int64) for own in sets)
                 docs, comps = columns_of(a, b, "doc"), columns_of(a, b, "comp")
-                for i, j in close_pairs(*maps, size, comps, percent):
+                for i, j in close_pairs(*maps, size, comps, met_before(a, b), percent):
                     for p, q in zip(i.tolist(), j.tolist(), strict=True):
                         if a is b and q < p:
                             continue
@@ -187,16 +217,36 @@ def links_of(members: DataFrame, percent: int) -> DataFrame:
     return members.mapInArrow(judge, "x long, y long")
 
 
+def one_of_each_group(members: DataFrame) -> DataFrame:
+    """``members`` of buckets that hold more than one component, with their number ``n``; of buckets with the very same members
+    one, as near copies meet in many."""
+    who = F.xxhash64("doc").cast("decimal(38,0)")
+    groups = members.groupBy("bucket").agg(
+        F.min("comp").alias("least"),
+        F.max("comp").alias("most"),
+        F.count("doc").alias("n"),
+        F.sum(who).alias("total"),
+        F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("mixed"),
+    )
+    one = groups.where("least < most").groupBy("n", "total", "mixed").agg(F.min("bucket").alias("bucket"))
+    return members.join(one.select("bucket", "n"), "bucket")
+
+
 def missing_links(members: DataFrame, info: DataFrame, docs: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """Links that join the components of ``members`` (``bucket``, ``doc``, ``comp``) wherever two similar sets share a bucket.
 
     ``info`` has ``doc``, ``size`` and ``parity`` of each set, ``docs`` the texts (``doc``, ``text``) that ``sets`` makes sets of. An id may
     have several sets; each of them counts.
     """
-    spread = members.groupBy("bucket").agg(F.min("comp").alias("least"), F.max("comp").alias("most"), F.count("doc").alias("n"))
-    mixed = members.join(spread.where("least < most").select("bucket", "n"), "bucket")
+    mixed = one_of_each_group(members)
     with_maps = mixed.join(info.select("doc", F.col("size").cast("long").alias("size"), "parity"), "doc")
-    near = stored(with_close_partner(with_maps.select("bucket", "doc", "comp", "size", "parity", "n"), percent).distinct())
+    close = stored(with_close_partner(with_maps.select("bucket", "doc", "comp", "size", "parity", "n"), percent).distinct())
+    some = stored(one_of_each_group(close))
+    # A document's buckets are at most as many as it has n-grams or bands.
+    lists = some.groupBy("doc").agg(F.sort_array(F.collect_set("bucket")).alias("others"))
+    maps = info.select("doc", F.col("size").cast("long").alias("size"), "parity")
+    listed = some.join(lists, "doc").join(maps, "doc").select("bucket", "doc", "comp", "size", "parity", "others", "n")
+    near = stored(with_close_partner(listed, percent).distinct().join(lists, "doc").select("bucket", "doc", "comp", "others"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_size(batches, "text"):
@@ -206,6 +256,6 @@ def missing_links(members: DataFrame, info: DataFrame, docs: DataFrame, sets: Se
     asked = docs.join(near.select("doc").distinct(), "doc", "left_semi").select("doc", "text")
     held = stored(asked.mapInArrow(whole, "doc long, set binary"))
     heavy = near.join(held.groupBy("doc").agg(F.sum(F.length("set")).alias("bytes")), "doc").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
-    full = near.join(heavy, "bucket").join(held, "doc").select("bucket", "doc", "comp", "set", "bytes")
+    full = near.join(heavy, "bucket").join(held, "doc").select("bucket", "doc", "comp", "others", "set", "bytes")
     blocks = F.ceil(F.greatest(F.col("bytes"), F.lit(1)) / BLOCK_BYTES)
     return stored(links_of(dealt(full, blocks).drop("bytes"), percent).distinct())
