@@ -30,8 +30,8 @@ Sets = Callable[[pa.Array], list[np.ndarray]]
 
 
 def parity(hashes: np.ndarray) -> bytes:
-    """The parity bitmap of a set of hashes: a power of two of bits, at least four an element (up to ``MOST_BITS``)."""
-    bits = min(max(64, 1 << max(4 * len(hashes) - 1, 1).bit_length()), MOST_BITS)
+    """The parity bitmap of a set of hashes: a power of two of bits, at least two an element (up to ``MOST_BITS``)."""
+    bits = min(max(64, 1 << max(2 * len(hashes) - 1, 1).bit_length()), MOST_BITS)
     flips = np.bincount((hashes & U64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -220,7 +220,7 @@ def links_of(members: DataFrame, percent: int) -> DataFrame:
 def one_of_each_group(members: DataFrame) -> DataFrame:
     """``members`` of buckets that hold more than one component, with their number ``n``; of buckets with the very same members
     one, as near copies meet in many."""
-    who = F.xxhash64("doc").cast("decimal(38,0)")
+    who = F.shiftright(F.xxhash64("doc"), 32)
     groups = members.groupBy("bucket").agg(
         F.min("comp").alias("least"),
         F.max("comp").alias("most"),
