@@ -262,6 +262,27 @@ from node n join under using (path) left join kids using (path) left join finish
 left join node p on n.depth > 0 and p.path = left(n.path, len(n.path) - 128)
 """
 
+OP5_SQL = r"""
+with said as (
+    select conv_id, turn, role, replace(coalesce(text, ''), '<|im_', '<❘im_') as body from conversations where conv_id is not null
+), who as (
+    select distinct conv_id, role as perspective from said where role is not null and role <> 'system'
+), message as (
+    select conv_id, perspective, coalesce(role = perspective, false) as trained, body || '<|im_end|>' as said,
+        '<|im_start|>' || case when role = perspective then 'assistant' when role = 'system' then 'system' when role is null then 'user'
+            else 'user name=' || replace(role, '<|im_', '<❘im_') end || chr(10) as head,
+        row_number() over (partition by conv_id, perspective order by turn nulls first, role nulls first, body) as pos
+    from said join who using (conv_id)
+), placed as (
+    select *, sum(length(head) + length(said) + 1) over (partition by conv_id, perspective order by pos) - 1 as stop from message
+)
+select conv_id, perspective, 0::bigint as part, count(*) as n_turns, count(*) filter (trained) as n_trained,
+    string_agg(head || said || chr(10), '' order by pos) as rendered,
+    string_agg((stop - length(said))::bigint::varchar, ',' order by pos) filter (trained) as mask_starts,
+    string_agg(stop::bigint::varchar, ',' order by pos) filter (trained) as mask_ends
+from placed group by conv_id, perspective
+"""
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -279,6 +300,7 @@ LLM_QUERIES: dict[str, Query] = {
 }
 LLM_ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
+    "op5_chat_format": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
     "op8_url_filter": OP8_SQL,
     "op11_hard_negatives": OP11_SQL,

@@ -139,7 +139,7 @@ def test_mixing_of_odd_rows(spark):
 # Chat
 
 
-def rendered(turns, system="system", part_turns=64):
+def rendered(turns, system="system", part_bytes=None):
     talks = defaultdict(list)
     for conv, turn, role, text in turns:
         if conv is not None:
@@ -147,18 +147,22 @@ def rendered(turns, system="system", part_turns=64):
     result = {}
     for conv, said in talks.items():
         for me in {r for _, r, _ in said if r is not None and r != system}:
-            parts = defaultdict(list)
-            for t, r, x in sorted(said, key=lambda s: (s[0] is not None, s[0] or 0, s[1] or "", s[2])):
-                parts[-1 if t is None else t // part_turns].append((r, x))
-            for part, messages in parts.items():
-                text, spans = "", []
-                for r, x in messages:
-                    name = "assistant" if r == me else "system" if r == system else "user" if r is None else f"user name={r}"
-                    text += f"<|im_start|>{name}\n"
-                    if r == me:
-                        spans.append((len(text), len(text) + len(x) + 10))
-                    text += f"{x}<|im_end|>\n"
-                result[conv, me, part] = (len(messages), text, spans)
+            parts, size, context = defaultdict(lambda: [0, "", []]), 0, ""
+            for _, r, x in sorted(said, key=lambda s: (s[0] is not None, s[0] or 0, s[1] is not None, s[1] or "", s[2])):
+                name = "assistant" if r == me else "system" if r == system else "user" if r is None else f"user name={r}"
+                head, body = f"<|im_start|>{name}\n", f"{x}<|im_end|>"
+                number = size // part_bytes if part_bytes else 0
+                part = parts[number]
+                if number and not part[0] and r != system:
+                    part[1] = context
+                part[0] += 1
+                part[1] += head
+                if r == me:
+                    part[2].append((len(part[1]), len(part[1]) + len(body)))
+                part[1] += body + "\n"
+                size += len((head + body).encode()) + 1
+                context = f"{head}{body}\n" if r == system else context
+            result |= {(conv, me, number): tuple(part) for number, part in parts.items()}
     return result
 
 
@@ -177,10 +181,21 @@ def test_every_participant_is_the_assistant_once(spark):
     ]
     turns += [(7, 0, "system", "alone"), (8, 0, None, "nobody")]
     frame = spark.createDataFrame([(*t, 1) for t in turns], "conv_id long, turn int, role string, text string, part int")
-    assert chat_rows(chat.rotate_perspectives(frame, part_turns=4)) == rendered(turns, part_turns=4)
+    assert chat_rows(chat.rotate_perspectives(frame)) == rendered(turns)
+    for size in (1, 300, 12_000):
+        assert chat_rows(chat.rotate_perspectives(frame, part_bytes=size)) == rendered(turns, part_bytes=size)
     assert chat.rotate_perspectives(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [65, 1000])
+def test_long_dialogues_are_rendered_whole(spark, n):
+    turns = [(1, i, ["ann", "bob"][i % 2], f"turn {i}") for i in range(n)] + [(1, -1, "system", "be kind")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn int, role string, text string")
+    found = chat_rows(chat.rotate_perspectives(frame))
+    assert found == rendered(turns) and set(found) == {(1, "ann", 0), (1, "bob", 0)}
+    assert all(x[0] == n + 1 and x[1].startswith("<|im_start|>system\nbe kind") for x in found.values())
+
+
 def test_chat_of_the_test_table(spark, database):
     turns = database.execute("select conv_id, turn, role, text from conversations").fetchall()
     frame = spark.read.parquet(f"{SMALL}/conversations.parquet")
