@@ -6,7 +6,7 @@ rejected where it lies further from that centroid, by a margin, than all but the
 of their own language that they had no part in.
 
 The model is fitted on a bounded sample, of which only the vectors come to the driver: ``train_docs`` in all, dealt evenly
-over at most ``max_langs`` languages and chosen by a hash of id and text. Prediction is one pass without a shuffle.
+over all languages and chosen by a hash of id and text. Prediction is one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -30,6 +30,10 @@ UNDETERMINED = "und"
 # The share of a language's texts that may be anything (mislabelled, other scripts, code), how many texts of about
 # one length are needed to tell, and the size classes: the binary digits of a text's number of n-grams.
 ODD, TELLING, SIZES = 0.01, 100, 40
+# More values than this are no languages, and refused rather than learned in part.
+MOST_LANGS = 8192
+# Parts in which a language's least hashes are found before they meet.
+SALTS = 64
 LETTER = re.compile(r"[^\W\d_]")
 # Bytes that are no letters count as space; A-Z count as a-z.
 SPACE = np.full(1, 32, np.uint8)
@@ -37,6 +41,11 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[:128] = [ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(128)]
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is of a Unicode category L; fractions and circled digits are none, as in ``fit``."""
+    return any(found[0].isalpha() for found in LETTER.finditer(text or ""))
+
+
 def ngram_counts(data: np.ndarray) -> np.ndarray:
     """How often each hashed n-gram of 2 and 3 bytes occurs, with a space before and after the text.
 
@@ -147,25 +156,26 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     train_docs: int = 2048,
-    max_langs: int = 512,
     centroids: int = 4,
     margin: float = 0.3,
 ) -> Model:
     """A model from ``labelled``, whose rows with a null language or a text without any letter count for nothing.
 
-    ``train_docs`` and ``max_langs`` bound what the driver gets; the most frequent languages are learned, from texts with different
-    n-grams. A language's limit for texts of one size lies ``margin`` of it below the cosine that nearly all of its own such
-    texts reach (``limits_by_size``). Without any labelled row the model knows no language.
+    ``train_docs`` bounds what the driver gets: every language is learned from an equal share of texts with different n-grams, from
+    one at least. Over ``MOST_LANGS`` different labels are an error. A language's limit for texts of one size lies ``margin`` of it
+    below the cosine that nearly all of its own such texts reach (``limits_by_size``). Without any labelled row the model knows no
+    language.
     """
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")
     )
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    if not sizes:
+    learned = sorted(row["lang"] for row in rows.select("lang").distinct().limit(MOST_LANGS + 1).collect())
+    if not learned:
         return Model([], np.zeros((0, DIMS), np.float32), np.zeros((0, SIZES)), np.ones(DIMS, np.float32))
-    each = max(1, train_docs // len(sizes))
-    learned = [row["lang"] for row in sizes]
-    placed = rows.where(F.col("lang").isin(learned)).withColumn("place", F.xxhash64(F.lit(SEED), "id", "text"))
+    if len(learned) > MOST_LANGS:
+        raise ValueError(f"{lang} has over {MOST_LANGS} different values")
+    each = max(1, train_docs // len(learned))
+    placed = rows.withColumn("place", F.xxhash64(F.lit(SEED), "id", "text"))
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The least hashes of each language that a task has read, copies once.
@@ -185,7 +195,9 @@ def fit(
         )
 
     ranks = "lang string, place long"
-    kept_places = placed.select("lang", "place").mapInArrow(least, ranks).repartition("lang").mapInArrow(least, ranks)
+    kept_places = placed.select("lang", "place").mapInArrow(least, ranks)
+    for keys in (["lang", F.pmod("place", F.lit(SALTS))], ["lang"]):  # no task gets more than SALTS shares of a language at the end
+        kept_places = kept_places.repartition(*keys).mapInArrow(least, ranks)
     last = {r["lang"]: r["last"] for r in kept_places.groupBy("lang").agg(F.max("place").alias("last")).collect()}
     up_to = F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")]
 
@@ -250,14 +262,14 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             T.StructField("rejected", T.BooleanType()),
         ]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # dims x (centroids of at most max_langs languages)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # dims x centroids, which are at most train_docs or MOST_LANGS
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in by_size(batches, text, 1 << 20):
             texts = batch.column(batch.schema.get_field_index(text))
             data, bounds = text_bytes(texts)
-            lettered = np.array([bool(t) and LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+            lettered = np.array([has_letter(t) for t in texts.to_pylist()], bool)
             pred = np.full(len(lettered), UNDETERMINED, object)
             score, rejected = np.zeros(len(lettered)), np.ones(len(lettered), bool)
             todo = np.flatnonzero(lettered) if m.langs else []

@@ -133,6 +133,25 @@ def test_odd_texts_and_models(spark):
     assert langid.identify(frame.limit(0), model).count() == 0
 
 
+def test_only_letters_make_a_language(spark):
+    """Fractions, circled digits, powers and Roman numerals are no letters, in training or prediction."""
+    no, yes = ["½", "①②", "²", "Ⅳ Ⅸ", "٣", "😀", "_-_"], ["½a", "é", "ª", "中", "1st"]
+    assert not any(map(langid.has_letter, no)) and all(map(langid.has_letter, yes)) and not langid.has_letter(None)
+    frame = spark.createDataFrame(list(enumerate(no + yes)), "doc_id long, text string")
+    model = langid.fit(frame.withColumn("lang", F.when(F.col("doc_id") < len(no), "xx").otherwise("en")))
+    assert set(model.langs) == {"en"}
+    found = {r.doc_id: r.lang_pred for r in langid.identify(frame, model).collect()}
+    assert [found[i] for i in range(len(found))] == ["und"] * len(no) + ["en"] * len(yes)
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 5)
+    frame = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(6)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="over 5"):
+        langid.fit(frame)
+    assert len(set(langid.fit(frame.where("doc_id < 5"), train_docs=2).langs)) == 5
+
+
 def test_the_sample_is_bounded(spark):
     rows = [(1, f"word{i} and more", "en") for i in range(500)]
     model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), train_docs=20)
