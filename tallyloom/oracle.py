@@ -454,3 +454,6 @@ ORACLE_SQL: dict[str, str] = {
             select 'expenses', 'ok', count(*) from lines l {HEADER} {CENTER} {ACCOUNT} where l.ano >= 1996""",
     ),
 }
+# Sums kept up to date are what the reports give over the whole tables.
+ORACLE_SQL["maintained_company_balance"] = ORACLE_SQL["company_account_month"]
+ORACLE_SQL["maintained_partner_residual"] = ORACLE_SQL["partner_residual"]

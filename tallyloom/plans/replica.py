@@ -6,6 +6,7 @@ shuffled once as partial sums, whatever the dimension sizes and however skewed t
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -111,11 +112,16 @@ def _account_balance(erp: Erp, moves: DataFrame, *periods: tuple[str, Column]) -
     per_id = moves.groupBy("account_id", "company_id", *[column.alias(name) for name, column in periods]).agg(
         total(money("balance")).alias("saldo")
     )
+    return named_account_balance(erp, per_id, names)
+
+
+def named_account_balance(erp: Erp, per_id: DataFrame, periods: Sequence[str] = ()) -> DataFrame:
+    """Sums ``saldo`` by ``account_id``, ``company_id`` and ``periods`` as the balance report gives them out."""
     named = look_up(per_id, erp.accounts, {"account_id": "id"}, {"code": "codigo", "name": "cuenta"})
     named = look_up(named, erp.companies, {"company_id": "id"}, {"name": "vessel"})
     # Several accounts may share code and name.
-    summed = named.groupBy("codigo", "cuenta", "company_id", "vessel", *names).agg(F.sum("saldo").alias("saldo"))
-    return summed.select("vessel", "cuenta", shown(F.col("saldo")).alias("saldo"), "codigo", "company_id", *names)
+    summed = named.groupBy("codigo", "cuenta", "company_id", "vessel", *periods).agg(F.sum("saldo").alias("saldo"))
+    return summed.select("vessel", "cuenta", shown(F.col("saldo")).alias("saldo"), "codigo", "company_id", *periods)
 
 
 def company_account_balance(erp: Erp) -> DataFrame:
@@ -135,12 +141,14 @@ def income_statement_year(erp: Erp, *, year: int | None = None) -> DataFrame:
 
 def partner_residual(erp: Erp) -> DataFrame:
     """Open amount of each partner and company where it is not zero; cents that cancel sum to exactly zero."""
-    sums = (
-        erp.move_lines.groupBy("partner_id", "company_id")
-        .agg(total(money("amount_residual")).alias("saldo"))
-        .where(F.col("saldo") != 0)
+    return named_partner_residual(
+        erp, erp.move_lines.groupBy("partner_id", "company_id").agg(total(money("amount_residual")).alias("saldo"))
     )
-    rows = look_up(sums, erp.partners, {"partner_id": "id"}, {"name": "partner"})
+
+
+def named_partner_residual(erp: Erp, sums: DataFrame) -> DataFrame:
+    """Sums ``saldo`` by ``partner_id`` and ``company_id``, where not zero, as the residual report gives them out."""
+    rows = look_up(sums.where(F.col("saldo") != 0), erp.partners, {"partner_id": "id"}, {"name": "partner"})
     rows = look_up(rows, erp.companies, {"company_id": "id"}, {"name": "vessel"})
     return rows.select(shown(F.col("saldo")).alias("saldo"), "partner_id", "partner", "company_id", "vessel")
 

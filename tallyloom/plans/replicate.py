@@ -116,6 +116,16 @@ class Replica:
         chosen = reduce(or_, [(F.col(VERSION) == v) & F.col(SLOT).isin(own) for v, own in slots.items()])
         return files.where(chosen).drop(VERSION)
 
+    def versions(self, table: str) -> DataFrame:
+        """``slot``, its current ``version`` and the one before, ``replaced``, which stays until the next merge of the slot."""
+        return self._state(table)
+
+    def rows_of(self, table: str, versions: DataFrame) -> DataFrame:
+        """The rows of the given versions (``slot``, ``version``), current or replaced, with the table's columns of today."""
+        _, schema = self.last(table)
+        some = versions.limit(FEW_SLOTS + 1).collect()
+        return self._rows(table, schema, versions, some if len(some) <= FEW_SLOTS else None).select(*schema.names)
+
     def read(self, table: str) -> DataFrame:
         """The whole table. A replicated source without rows is an empty table with its columns."""
         _, schema = self.last(table)
@@ -134,10 +144,11 @@ class Replica:
     def replace(self, table: str, slots: Sequence[int], rows: DataFrame, seq: int) -> int:
         """Up to ``FEW_SLOTS`` slots hold ``rows`` (with their ``slot``) from now on, whatever they held; gives the commit's number.
 
-        ``seq`` is the commit that the rows were made from; if there has been another since, ``ConcurrentWrite`` is raised.
+        ``seq`` is the commit that the rows were made from, 0 for a new table; if there has been another since, ``ConcurrentWrite`` is
+        raised.
         """
         version = uuid4().hex
-        replaced = self._state(table).where(F.col(SLOT).isin(list(slots)))
+        replaced = self._state(table).where(F.col(SLOT).isin(list(slots))) if seq else None
         self._write(table, rows, version)
         columns = T.StructType([f for f in rows.schema.fields if f.name != SLOT])
         new = self.spark.createDataFrame([(slot,) for slot in slots], f"{SLOT} BIGINT")

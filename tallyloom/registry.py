@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.criteria import (
@@ -19,8 +19,8 @@ from tallyloom.functions.criteria import (
     one_of,
     starts_with,
 )
-from tallyloom.functions.dates import wall_clock
-from tallyloom.functions.money import shown
+from tallyloom.functions.dates import month_of, wall_clock, year_of
+from tallyloom.functions.money import MONEY, money, shown
 from tallyloom.operators.changes import changed_rows, upsert_merge
 from tallyloom.operators.colocated import stage_colocated
 from tallyloom.operators.journal import stage_journal
@@ -29,12 +29,14 @@ from tallyloom.operators.snapshots import SnapshotStore
 from tallyloom.operators.watermark import Watermark
 from tallyloom.plans import balances, lines, replica, sales
 from tallyloom.plans.jobs import ReportCall, run_job
+from tallyloom.plans.maintained import MaintainedSums
 from tallyloom.plans.repair import repair
 from tallyloom.plans.replicate import Replica, replicate, replicated_erp
 from tallyloom.session import run_folder, tune
 from tallyloom.sources import standin
 from tallyloom.sources.cleaning import clean_ledger, nan_to_null, stage_ledger
 from tallyloom.sources.collation import DATABASE
+from tallyloom.sources.erp import Erp
 from tallyloom.sources.ledger import Ledger
 from tallyloom.sources.newest import load_newest
 from tallyloom.sources.schemas import ERP_TABLES
@@ -366,6 +368,48 @@ def replicated_erp_balance(spark: SparkSession, folder: str) -> DataFrame:
     return replica.company_account_balance(replicated_erp(target))
 
 
+def _maintained(spark: SparkSession, folder: str, keys: dict[str, Column], amount: str) -> tuple[Erp, DataFrame]:
+    """Sums over replicated journal lines, refreshed after each of three batches.
+
+    The first holds a third of the lines under other accounts, companies, partners and dates, and other amounts for the rest; the
+    later ones put that right, so rows move between groups and the groups that they first made go.
+    """
+    source = standin.erp(tune(spark), folder)
+    root = run_folder(spark)
+    # The test tables repeat order and line numbers, and a replica holds each id once.
+    source.move_lines.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{root}/moves")
+    moves = spark.read.parquet(f"{root}/moves")
+    third = F.col("id") % 3
+    first = moves.withColumns(
+        {
+            **{c: F.when(third == 1, F.col(c) - 1).otherwise(F.col(c)) for c in ("account_id", "company_id", "partner_id")},
+            **{c: F.when(third == 2, F.col(c) + 1).otherwise(F.col(c)).cast(MONEY) for c in ("balance", "amount_residual")},
+            "date": F.when(third == 1, F.col("date") + F.expr("interval 900 days")).otherwise(F.col("date")),
+        }
+    )
+    batches = [first, moves.where(third == 1), moves.where(third == 2)]
+    target, mark = Replica(spark, root, slot_rows=50_000), Watermark(spark, f"{root}/watermark")
+    sums = MaintainedSums(target, "account_move_line", "balance", keys, {"saldo": money(amount)}, parts=16)
+    for n, batch in enumerate(batches):
+        rows = batch.withColumn("write_date", wall_clock(f"200{n}-06-01"))
+        replicate(target, {"account_move_line": rows}, mark, now=datetime(2001 + n, 1, 1))
+        sums.refresh()
+    return source, sums.read()
+
+
+def maintained_company_balance(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly balances of accounts and companies from sums that were kept up to date."""
+    ids = {c: F.col(c) for c in ("account_id", "company_id")}
+    source, sums = _maintained(spark, folder, {**ids, "ano": year_of("date"), "mes": month_of("date")}, "balance")
+    return replica.named_account_balance(source, sums, ("ano", "mes"))
+
+
+def maintained_partner_residual(spark: SparkSession, folder: str) -> DataFrame:
+    """The open amounts of partners from sums that were kept up to date."""
+    source, sums = _maintained(spark, folder, {c: F.col(c) for c in ("partner_id", "company_id")}, "amount_residual")
+    return replica.named_partner_residual(source, sums)
+
+
 def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
     """The watermark after two runs whose cutoffs are the oldest and the newest order date."""
     orders = standin.table(tune(spark), folder, "orders")
@@ -453,6 +497,8 @@ OPERATORS: dict[str, Query] = {
     "replication": replication,
     "replica_repair": replica_repair,
     "replicated_erp_balance": replicated_erp_balance,
+    "maintained_company_balance": maintained_company_balance,
+    "maintained_partner_residual": maintained_partner_residual,
     "watermark_advance": watermark_advance,
     "streaming_replication": streaming_replication,
     "newest_snapshot_load": newest_snapshot_load,
