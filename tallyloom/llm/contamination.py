@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tallyloom.llm.textbytes import PrefixHash, byte_hashes, by_size, mix, text_bytes
 
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 ADDED = ("n_words", "hit_spans", "items", "longest_match")
 # A-Z lower-cased; letters, digits and all bytes of non-ASCII characters make words.
 LOWER = np.arange(256, dtype=np.uint8)
