@@ -457,3 +457,14 @@ ORACLE_SQL: dict[str, str] = {
 # Sums kept up to date are what the reports give over the whole tables.
 ORACLE_SQL["maintained_company_balance"] = ORACLE_SQL["company_account_month"]
 ORACLE_SQL["maintained_partner_residual"] = ORACLE_SQL["partner_residual"]
+ORACLE_SQL["quarantined_export"] = """
+with export as (
+    select c_custkey, c_name, c_nationkey, cast(c_acctbal as decimal(18,2)) as balance,
+        concat_ws(',', c_custkey::varchar, c_name, c_nationkey::varchar) as start from customer
+), read as (
+    select *, case when c_custkey % 7 = 3 then start || ',n/a' when c_custkey % 7 = 5 then start || ',' || balance::varchar || ',x'
+        when c_custkey % 11 = 2 then start end as raw from export
+)
+select cast(c_custkey as bigint) as custkey, c_name as name, cast(c_nationkey as bigint) as nation, cast(balance as double) as balance, raw
+from read where raw is null
+union all select null, null, null, null, raw from read where raw is not null"""

@@ -39,6 +39,7 @@ from tallyloom.sources.collation import DATABASE
 from tallyloom.sources.erp import Erp
 from tallyloom.sources.ledger import Ledger
 from tallyloom.sources.newest import load_newest
+from tallyloom.sources.quarantine import CheckedLoads
 from tallyloom.sources.schemas import ERP_TABLES
 from tallyloom.streaming.changes import stream_changes
 
@@ -443,6 +444,25 @@ def newest_snapshot_load(spark: SparkSession, folder: str) -> DataFrame:
     return load_newest(spark, f"{root}/exports", "parquet", "*.parquet")
 
 
+def quarantined_export(spark: SparkSession, folder: str) -> DataFrame:
+    """An export of the customers in which some rows lack a field, have one too many or no number as balance: good rows and raw lines."""
+    key = F.col("c_custkey")
+    start = F.concat_ws(",", key.cast("string"), "c_name", F.col("c_nationkey").cast("string"))
+    balance = F.col("c_acctbal").cast(MONEY).cast("string")
+    line = (
+        F.when(key % 7 == 3, F.concat(start, F.lit(",n/a")))
+        .when(key % 7 == 5, F.concat(start, F.lit(","), balance, F.lit(",x")))
+        .when(key % 11 == 2, start)
+        .otherwise(F.concat(start, F.lit(","), balance))
+    )
+    root = run_folder(spark)
+    standin.table(tune(spark), folder, "customer").select(line.alias("value")).write.text(f"{root}/exports/customers")
+    loads = CheckedLoads(spark, f"{root}/loads", f"custkey BIGINT, name STRING, nation BIGINT, balance {MONEY}", most_malformed=0.5)
+    done = loads.load(f"{root}/exports", pattern="*.txt", header="false")
+    good = done.rows.withColumns({"balance": shown(F.col("balance")), "raw": F.lit(None).cast("string")})
+    return good.unionByName(done.malformed.select(F.col("_raw").alias("raw")), allowMissingColumns=True)
+
+
 def snapshot_full_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """A report written twice under one name; the second run is the current snapshot."""
     source = standin.ledger(tune(spark), folder)
@@ -502,6 +522,7 @@ OPERATORS: dict[str, Query] = {
     "watermark_advance": watermark_advance,
     "streaming_replication": streaming_replication,
     "newest_snapshot_load": newest_snapshot_load,
+    "quarantined_export": quarantined_export,
     "snapshot_full_refresh": snapshot_full_refresh,
     "two_target_snapshot": two_target_snapshot,
     "company_partitioned_snapshot": company_partitioned_snapshot,
