@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from html import unescape
 from itertools import product
 
@@ -78,6 +79,48 @@ def test_boilerplate_attributes(start):
     assert html.main_text(f"{start}{BODY}</{tag}>") == ""
 
 
+LONG = " ".join(["This paragraph tells the story of a place, and it goes on for quite a while, as the text of an article does."] * 3)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<article class="popular-science">%s</article>', '<article id="notice-board-reopens">%s</article>', '<article class="legal">%s</article>',
+        '<div class="social-security">%s</div>', '<div class="market-share"><div class="market-share-today" id="weather-alert">%s</div></div>',
+        '<main class="legal-content"><article>%s</article></main>', '<div class="single-post comments-open"><article>%s</article></div>',
+        '<form id="aspnetForm"><nav>Home</nav><div>%s</div></form>', '<form><div>Menu</div><table><tr><td>%s</td></tr></table><form>Search</form></form>',
+        '<article><p class="share-price">' + LONG + "</p>%s</article>", "<p data-x=it's>" + LONG + " It doesn't end.</p>%s",
+        '<section class="story">%s</section>', '<div role="main">%s</div>', "<center><font size=2>%s</font></center>",
+    ],
+)
+def test_long_paragraphs_stay(page):
+    lines = html.main_text("<html><body>" + page % f"<p>{LONG}</p>").split("\n")
+    assert LONG in lines and all(x.startswith("This paragraph") for x in lines)
+    assert len(lines) == 1 + page.count(LONG)
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        '<div class="cookie-notice">', '<div class="site-notice">', '<div id="post-comments">', '<div class="social-links">', '<ul class="popular-posts">',
+        '<div class="ad-slot-3">', '<div class="sidebar sidebar-left">', '<section class="entry-footer">', '<form action="x">',
+    ],
+)
+def test_compound_names_of_boilerplate(start):
+    tag = re.match(r"<(\w+)", start)[1]
+    assert html.main_text(f"<p>{LONG}</p><article><p>{LONG}</p></article>{start}<p>{LONG}</p></{tag}>") == f"{LONG}\n{LONG}"
+
+
+def test_deep_and_doubtful_pages_are_linear():
+    begin = time.process_time()
+    html.main_text("<div>" * 8000 + "<p>some text here</p>" * 8000)
+    html.main_text("<p><table><tr><td>" + "<div>" * 8000 + "text")
+    doubtful = {i: 900 if i % 2 else -900 for i in range(8000)}
+    chain = {i: {j: 1200 for j in (i - 1, i + 1) if j in doubtful} for i in doubtful}
+    html.max_flow_side(doubtful, chain)
+    assert time.process_time() - begin < 3
+
+
 def test_odd_pages(spark):
     rows = [(1, None, "a"), (1, "", "b"), (2, "<<< <p", "c"), (3, "<!-- never closed", "d"), (4, "<p>" + "word " * 50_000, "e")]
     rows += [(5, "<div>" * 3000 + "deep" + "</div>" * 10, "f"), (6, "a < b and b > c &amp; &#65; &nosuch; &#xD800;", "g")]
