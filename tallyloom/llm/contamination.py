@@ -2,7 +2,9 @@
 
 Each shard of documents (a batch of a task, a few MB) gets a suffix array over its words. Every suffix of every test item is
 looked up in it by binary search; the suffixes that share its first words stand side by side, and each is a verbatim match
-with its location. Words are compared by 64-bit hash in the search, and matched words byte by byte after it.
+with its location. Words are compared by 64-bit hash in the search, and matched words byte by byte after it. Windows of the
+same words, as of a prompt that many items begin with, are one test suffix with a list of items, so that a place in a
+document meets at most one window of each length.
 
 Test items are a stated query set: they are sent to the tasks in blocks of bounded size, and the documents go by once for
 all blocks, without a shuffle. A suffix that starts with no two words of any test item can't match and isn't sorted.
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -59,21 +62,74 @@ class Words:
 
 
 class TestItems:
-    """A block of test items: their words, and the start and length of every window."""
+    """A block of test items: their words, and their different windows, each with a start, a length and the items that have it."""
 
     def __init__(self, ids: list[str | None], texts: pa.Array, window: int) -> None:
-        self.ids, self.words = ids, Words.of(texts)
-        sizes = np.diff(self.words.bounds)
-        counts = np.where(sizes >= window, sizes - window + 1, (sizes > 0).astype(np.int64))
-        self.item = np.repeat(np.arange(len(sizes)), counts)
-        within = np.arange(len(self.item)) - np.repeat(np.cumsum(counts) - counts, counts)
-        self.at = self.words.bounds[self.item] + within
-        self.length = np.minimum(sizes[self.item], window)
+        self.ids, self.words, self.window = ids, Words.of(texts), window
+        self.sizes = np.diff(self.words.bounds)
+        counts = np.where(self.sizes >= window, self.sizes - window + 1, (self.sizes > 0).astype(np.int64))
+        item = np.repeat(np.arange(len(counts)), counts)
+        start = self.words.bounds[item] + np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)
+        length = np.minimum(self.sizes[item], window)
+        fold = self.folded(start, length)
+        first = np.unique(fold, return_index=True)[1]
+        self.at, self.length = start[first], length[first]
+        self.item_lists, self.list_of = item_lists(fold, item)
         # Suffixes whose first ``lead`` words are none of these hold no window.
         self.lead = int(min(self.length.min(initial=window), 2))
         self.leads = np.unique(run_hashes(self.words.hash, self.at, self.lead)) if len(self.at) else np.zeros(0, np.uint64)
         self.deepest = int(self.length.max(initial=0))
 
+    def folded(self, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """A number for each window, from 0, that windows of the same words share: equal hashes, then equal bytes."""
+        hashes = PrefixHash(self.words.hash).run(start, start + length) if len(start) else np.zeros(0, np.uint64)
+        order = np.lexsort((hashes, length))
+        fold, used = np.full(len(start), -1), 0
+        while len(order):  # again only for different words of one hash
+            own_hash, own_length = hashes[order], length[order]
+            new = np.append(True, (own_hash[1:] != own_hash[:-1]) | (own_length[1:] != own_length[:-1]))
+            group = np.cumsum(new) - 1
+            head = order[np.flatnonzero(new)][group]
+            same = np.ones(len(order), bool)
+            for d in range(int(own_length.max())):
+                some = np.flatnonzero(same & (d < own_length))
+                same[some] = same_words(self.words, start[order[some]] + d, self.words, start[head[some]] + d)
+            fold[order[same]] = used + group[same]
+            used += int(group[-1]) + 1
+            order = order[~same]
+        return fold
+
+    @cached_property
+    def long_suffixes(self) -> tuple[np.ndarray, np.ndarray]:
+        """The starts of full windows in the order of the word hashes from there to the end of the item, and these ends.
+
+        Suffixes that agree in 2^n words are ordered by the order of what follows these, so log(words) sorts do.
+        """
+        ends = np.repeat(self.words.bounds[1:], self.sizes)
+        rank = np.unique(self.words.hash, return_inverse=True)[1].astype(np.int64)
+        here, step = np.arange(len(rank)), 1
+        while step < self.sizes.max(initial=0):
+            after = np.where(here + step < ends, rank[np.minimum(here + step, len(rank) - 1)] + 1, 0)
+            rank = np.unique(rank * (len(rank) + 1) + after, return_inverse=True)[1].astype(np.int64)
+            step *= 2
+        long = np.flatnonzero(here + self.window <= ends)
+        rank, first = np.unique(rank[long], return_index=True)
+        return long[first], ends[long[first]]
+
+
+def item_lists(fold: np.ndarray, item: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
+    """The different lists of items that windows have, and the number of its list for each window."""
+    pairs = np.unique(np.stack([fold, item]), axis=1)
+    bounds = np.flatnonzero(np.append(True, pairs[0, 1:] != pairs[0, :-1])) if pairs.shape[1] else np.zeros(0, np.int64)
+    number: dict[bytes, int] = {}
+    lists: list[list[int]] = []
+    list_of = np.zeros(len(bounds), np.int64)
+    for i, own in enumerate(np.split(pairs[1], bounds[1:]) if len(bounds) else []):
+        list_of[i] = number.setdefault(own.tobytes(), len(number))
+        if list_of[i] == len(lists):
+            lists.append(own.tolist())
+    return lists, list_of
+
 
 def run_hashes(words: np.ndarray, start: np.ndarray, n: int) -> np.ndarray:
     """A hash of the ``n`` words from each start."""
@@ -180,17 +236,54 @@ def matches(words: Words, items: TestItems) -> tuple[np.ndarray, np.ndarray]:
     return at[sure], which[sure]
 
 
-def longest(at: np.ndarray, which: np.ndarray, items: TestItems) -> np.ndarray:
-    """The words of the longest verbatim match that each pair is part of: windows that follow one another are one match."""
-    diagonal = items.at[which] - at
-    order = np.lexsort((at, diagonal, items.item[which]))
-    key = np.stack([items.item[which][order], diagonal[order], at[order] - np.arange(len(order))])
-    new = np.ones(len(order), bool)
-    new[1:] = (key[:, 1:] != key[:, :-1]).any(axis=0)
-    run = np.cumsum(new) - 1
-    size = np.bincount(run, minlength=1) if len(order) else np.zeros(0, np.int64)
-    result = np.zeros(len(order), np.int64)
-    result[order] = size[run] - 1 + items.length[which[order]]
+def common(own: PrefixHash, at: np.ndarray, ends: np.ndarray, other: PrefixHash, test_at: np.ndarray, test_ends: np.ndarray) -> np.ndarray:
+    """How many words each two runs have in common from their starts, by binary search on their prefix hashes."""
+    low, high = np.zeros(len(at), np.int64), np.minimum(ends - at, test_ends - test_at)
+    while True:
+        todo = np.flatnonzero(low < high)
+        if not len(todo):
+            return low
+        n = (low[todo] + high[todo] + 1) // 2
+        a, b = at[todo], test_at[todo]
+        same = own.run(a, a + n) == other.run(b, b + n)
+        low[todo] = np.where(same, n, low[todo])
+        high[todo] = np.where(same, high[todo], n - 1)
+
+
+def longest(words: Words, at: np.ndarray, which: np.ndarray, items: TestItems) -> np.ndarray:
+    """The words of the longest verbatim match with an item that starts with each match of a window, by hash beyond the window.
+
+    It is with one of the two suffixes of items between which that of the document would be sorted.
+    """
+    result = items.length[which].copy()
+    full = np.flatnonzero(result == items.window)
+    if not len(full):
+        return result
+    suffixes, suffix_ends = items.long_suffixes
+    own = at[full]
+    ends = words.bounds[words.text_of(own) + 1]
+    padded, tests = np.append(words.hash, np.uint64(0)), np.append(items.words.hash, np.uint64(0))
+
+    hashes = PrefixHash(words.hash), PrefixHash(items.words.hash)
+
+    def against(i: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return common(hashes[0], own[i], ends[i], hashes[1], suffixes[place], suffix_ends[place])
+
+    low, high = np.zeros(len(own), np.int64), np.full(len(own), len(suffixes), np.int64)
+    while True:
+        todo = np.flatnonzero(low < high)
+        if not len(todo):
+            break
+        middle = (low[todo] + high[todo]) // 2
+        n = against(todo, middle)
+        a, b = own[todo] + n, suffixes[middle] + n
+        done = b >= suffix_ends[middle]  # the item's suffix begins the document's, so it sorts before it
+        less = done | (a < ends[todo]) & (tests[np.minimum(b, len(tests) - 1)] < padded[a])
+        low[todo] = np.where(less, middle + 1, low[todo])
+        high[todo] = np.where(less, high[todo], middle)
+    everything = np.arange(len(own))
+    best = np.maximum(against(everything, np.maximum(low - 1, 0)), against(everything, np.minimum(low, len(suffixes) - 1)))
+    result[full] = np.maximum(result[full], best)
     return result
 
 
@@ -257,10 +350,9 @@ def find_contamination(
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], own.astype(np.int8), [0]])))
                     spans[d] = edge.reshape(-1, 2).tolist()
                 doc = words.text_of(at)
-                for d, i in np.unique(np.stack([doc, test.item[which]]), axis=1).T:
-                    if test.ids[i] is not None:
-                        ids[d].add(test.ids[i])
-                np.maximum.at(longest_of, doc, longest(at, which, test))
+                for d, i in np.unique(np.stack([doc, test.list_of[which]]), axis=1).T:
+                    ids[d].update(test.ids[x] for x in test.item_lists[i] if test.ids[x] is not None)
+                np.maximum.at(longest_of, doc, longest(words, at, which, test))
                 values = [np.diff(words.bounds), spans, [sorted(x) for x in ids], longest_of]
                 kept = [c for c, name in zip(batch.columns, batch.schema.names, strict=True) if name not in ADDED]
                 yield pa.RecordBatch.from_arrays(
