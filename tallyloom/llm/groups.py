@@ -24,6 +24,8 @@ from tallyloom.llm.textbytes import BASE, U64, by_size, mix
 
 BLOCK_ROWS, BLOCK_BYTES = 2048, 8 << 20
 TILE_WORDS = 1 << 21
+# Texts hashed at a time: their prefix hashes take some 40 times as much memory.
+HASHED_BYTES = 1 << 20
 STEP = 1024
 MOST_BITS = 1 << 20
 Sets = Callable[[pa.Array], list[np.ndarray]]
@@ -249,7 +251,7 @@ def missing_links(members: DataFrame, info: DataFrame, docs: DataFrame, sets: Se
     near = stored(with_close_partner(listed, percent).distinct().join(lists, "doc").select("bucket", "doc", "comp", "others"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_size(batches, "text"):
+        for batch in by_size(batches, "text", HASHED_BYTES):
             found = [s.tobytes() for s in sets(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc", "set"])
 

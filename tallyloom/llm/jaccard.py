@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.contamination import LOWER, run_hashes
-from tallyloom.llm.groups import missing_links, parity, similar
+from tallyloom.llm.groups import HASHED_BYTES, missing_links, parity, similar
 from tallyloom.llm.storage import connected, stored
 from tallyloom.llm.textbytes import byte_hashes, by_size, mix, text_bytes
 
@@ -83,7 +83,7 @@ def survey(docs: DataFrame, n: int) -> DataFrame:
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SLOT_BITS, np.uint32)
-        for batch in by_size(batches, "text"):
+        for batch in by_size(batches, "text", HASHED_BYTES):
             sets = shingle_sets(batch.column(1), n)
             whole = np.concatenate(sets)
             np.add.at(counts, slot(whole), np.uint32(1))
@@ -149,7 +149,7 @@ def prefix_rows(docs: DataFrame, n: int, percent: int, counts: np.ndarray) -> Da
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, packed = shared.value
         frequent = np.unpackbits(packed).astype(bool)
-        for batch in by_size(batches, "text", 1 << 20):
+        for batch in by_size(batches, "text", HASHED_BYTES):
             grams, docs_, places, salts = [], [], [], []
             for doc, found in zip(batch.column(0).to_numpy(), shingle_sets(batch.column(1), n), strict=True):
                 size = len(found)
@@ -197,7 +197,7 @@ def verified(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFra
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in by_size(iter([whole]), "text_x", 1 << 20):
+            for batch in by_size(iter([whole]), "text_x", HASHED_BYTES):
                 distinct = batch.column(3).fill_null("").dictionary_encode()  # many pairs have the same y
                 own, others = shingle_sets(batch.column(2), n), shingle_sets(distinct.dictionary, n)
                 keep = [similar(s, others[at], percent) for s, at in zip(own, distinct.indices.to_pylist(), strict=True)]
