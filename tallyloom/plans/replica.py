@@ -67,28 +67,44 @@ def product_movements(erp: Erp) -> DataFrame:
     """Purchases by partner, product, company, invoice date and line description, oldest last order first.
 
     The product id and the invoice date separate groups without being shown, so rows may look alike. Lines without a
-    product are kept. Names depend on ids that are grouped, so they are looked up after the sums.
+    product are kept. Products are looked up before the sums: where that join deals out the lines by product, the
+    groups need no exchange of their own. ``product`` numbers the products' rows, so that a group meets each of
+    several rows of one product once and no line counts twice.
     """
     invoices = erp.invoices.select(F.col("id").alias("invoice_id"), "date_invoice")
-    groups = (
-        erp.invoice_lines.join(invoices, "invoice_id")
-        .groupBy("partner_id", "product_id", "company_id", "date_invoice", "name")
-        .agg(
-            F.count("id").alias("orders"),
-            shown(total(money("price_subtotal_signed"))).alias("monto"),
-            F.sum(F.col("quantity").cast("decimal(18,4)")).cast("double").alias("cantidad"),
-            F.max("write_date").alias("last_order"),
-        )
+    lines = erp.invoice_lines.select(
+        "partner_id",
+        "product_id",
+        "company_id",
+        "name",
+        "invoice_id",
+        F.when(F.col("id").isNotNull(), True).alias("counted"),
+        money("price_subtotal_signed").alias("amount"),
+        F.col("quantity").cast("decimal(18,4)").alias("quantity"),
+        "write_date",
     )
-    # Variants and templates meet first, so that the groups are dealt out for products once.
+    # Variants and templates meet first, so that the lines are dealt out for products once.
     templates = erp.product_templates.select(
         F.col("id").alias("product_tmpl_id"), F.col("id").alias("known_p_id"), F.col("name").alias("producto")
     )
     products = erp.product_variants.select(F.col("id").alias("product_id"), "product_tmpl_id").join(
         templates, "product_tmpl_id", "left"
     )
-    rows = groups.join(products.drop("product_tmpl_id"), "product_id", "left")
-    rows = look_up(rows, erp.partners, {"partner_id": "id"}, {"name": "partner_name"})
+    products = products.drop("product_tmpl_id").withColumn("product", F.monotonically_increasing_id())
+    groups = (
+        lines.join(invoices, "invoice_id")
+        .drop("invoice_id")
+        .join(products, "product_id", "left")
+        .groupBy("partner_id", "product_id", "company_id", "date_invoice", "name", "product", "known_p_id", "producto")
+        .agg(
+            F.count("counted").alias("orders"),
+            shown(total(F.col("amount"))).alias("monto"),
+            F.sum("quantity").cast("double").alias("cantidad"),
+            F.max("write_date").alias("last_order"),
+        )
+        .drop("product_id", "product")
+    )
+    rows = look_up(groups, erp.partners, {"partner_id": "id"}, {"name": "partner_name"})
     rows = look_up(rows, erp.companies, {"company_id": "id"}, {"name": "company_name"})
     report = rows.select(
         F.col("partner_id").alias("id"),

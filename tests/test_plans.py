@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from contextlib import contextmanager
 from dataclasses import replace
 from datetime import datetime
@@ -335,3 +336,20 @@ def test_product_groups_are_dealt_out_for_products_once(spark):
     assert len(re.findall(r"Exchange \(\d+\)\n|Exchange hashpartitioning|Exchange rangepartitioning", plan)) > 0
     assert sum("hashpartitioning(product_id" in row for row in plan.splitlines() if row.startswith("Arguments")) <= 2
     assert sum("hashpartitioning(p_id" in row for row in plan.splitlines()) == 0
+
+
+def test_lines_dealt_out_by_product_are_grouped_where_they_are(spark):
+    data = standin.erp(spark, "/root/testdata/sf0.001")
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+        plan = physical(replica.product_movements(data))
+    dealt = re.findall(r"hashpartitioning\((.*?), \d+\)", plan)
+    assert sum(keys.startswith("product_id") for keys in dealt) == 2
+    assert not any("date_invoice" in keys for keys in dealt)
+
+
+def test_repeated_product_rows_repeat_groups_and_sum_no_line_twice(spark):
+    data = standin.erp(spark, "/root/testdata/sf0.001")
+    twice = replace(data, product_variants=data.product_variants.union(data.product_variants))
+    shown = ["id", "p_id", "producto", "orders", "monto", "cantidad", "last_order", "company_id", "ano", "producto_descripcion"]
+    once, both = (Counter(map(tuple, replica.product_movements(e).select(*shown).collect())) for e in (data, twice))
+    assert both == Counter({row: n if row[1] is None else 2 * n for row, n in once.items()})
