@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 from operator import or_
@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.dates import utc_now
-from tallyloom.operators.changes import WRITE_DATE, changed_rows, latest_per_key, upsert_merge
+from tallyloom.operators.changes import WRITE_DATE, Brought, changed_rows, latest_per_key, upsert_merge
 from tallyloom.operators.watermark import Watermark
-from tallyloom.session import remove_folder, sized_shuffles
+from tallyloom.session import exists, remove_folder, scanned_bytes, sized_shuffles
 from tallyloom.sources.cleaning import nan_to_null
 from tallyloom.sources.erp import Erp
 from tallyloom.sources.schemas import ERP_TABLES
@@ -26,9 +26,14 @@ from tallyloom.sources.schemas import ERP_TABLES
 SLOT, VERSION = "slot", "version"
 COMMITS = "slot BIGINT, version STRING, replaced STRING, schema STRING, seq BIGINT"
 LAYOUT = "key STRING, slot_rows BIGINT"
+COMPRESSION = "zstd"
 SLOT_ROWS = 1_000_000
 # Up to so many slots are named in a filter; more are found by a join with the table of commits.
 FEW_SLOTS = 1_000
+# A merge that scans more compares ids and write dates first, so that rows which need no comparing stay where they are.
+LARGE_MERGE = 16 << 20
+# Rows that stay where they are may leave a slot in so many files on average; beyond that they are brought together.
+SLOT_FILES = 8
 # Every so many commits one states all slots, and those before it go.
 FOLD_EVERY = 20
 
@@ -141,35 +146,84 @@ class Replica:
         state = self._state(table).where(F.col(SLOT).isin(list(slots)))
         return self._rows(table, schema, state, state.collect()).select(*schema.names)
 
-    def replace(self, table: str, slots: Sequence[int], rows: DataFrame, seq: int) -> int:
+    def brought(self, table: str, versions: DataFrame) -> Brought | None:
+        """The ids that the merges which made these versions brought; the other rows of a slot are those of the version before.
+
+        None if one of the versions was made in another way, or if they are too many.
+        """
+        names = [row[0] for row in versions.select(VERSION).distinct().limit(FEW_SLOTS + 1).collect()]
+        paths = [self._brought_path(table, name) for name in names]
+        if len(paths) > FEW_SLOTS or not all(exists(self.spark, f"{path}/_SUCCESS") for path in paths):
+            return None
+        return Brought.read(self.spark, paths, self.key)
+
+    def _brought_path(self, table: str, version: str) -> str:
+        return f"{self.root}/brought/{table}/{version}"
+
+    def replace(
+        self,
+        table: str,
+        slots: Sequence[int],
+        rows: DataFrame,
+        seq: int,
+        dealt: bool = False,
+        check: Callable[[], None] | None = None,
+    ) -> int:
         """Up to ``FEW_SLOTS`` slots hold ``rows`` (with their ``slot``) from now on, whatever they held; gives the commit's number.
 
         ``seq`` is the commit that the rows were made from, 0 for a new table; if there has been another since, ``ConcurrentWrite`` is
-        raised.
+        raised. Rows that lie by slot already are ``dealt``; ``check`` is called when they have been written, before the commit.
         """
         version = uuid4().hex
         replaced = self._state(table).where(F.col(SLOT).isin(list(slots))) if seq else None
-        self._write(table, rows, version)
+        self._write(table, rows, version, dealt)
+        if check is not None:
+            check()
         columns = T.StructType([f for f in rows.schema.fields if f.name != SLOT])
         new = self.spark.createDataFrame([(slot,) for slot in slots], f"{SLOT} BIGINT")
         self._commit(table, seq, new, version, columns, replaced)
         return seq + 1
 
-    def _write(self, table: str, rows: DataFrame, version: str) -> None:
+    def _write(self, table: str, rows: DataFrame, version: str, dealt: bool = False) -> None:
+        """``dealt`` rows lie by slot as they are, others are brought together and rebalanced."""
         with sized_shuffles(rows):
+            named = rows.withColumn(VERSION, F.lit(version))
             (
-                rows.withColumn(VERSION, F.lit(version))
-                .hint("rebalance", SLOT)
+                (named if dealt else named.hint("rebalance", SLOT))
                 .write.mode("append")
+                .option("compression", COMPRESSION)
                 .partitionBy(SLOT, VERSION)
                 .parquet(self.path(table))
             )
 
+    def _scattered(self, *parts: DataFrame) -> bool:
+        """Whether tasks that write the rows of these scans as they come would leave slots in too many files."""
+        pairs = [rows.select(SLOT, F.spark_partition_id().alias("task")).distinct().withColumn("part", F.lit(n)) for n, rows in enumerate(parts)]
+        found = reduce(DataFrame.union, pairs).agg(F.count(SLOT), F.count_distinct(SLOT)).first()
+        return found[0] > SLOT_FILES * found[1]
+
+    def _merged(self, base: DataFrame | None, rows: DataFrame, ties: Sequence[str], kept: str) -> tuple[DataFrame, bool]:
+        """The rows of touched slots with a batch put in, and whether they lie by slot.
+
+        Rows of a large merge that have nothing to be compared with are passed on as their files are read. Which ids
+        it brought is ``kept`` with the version.
+        """
+        parts = [rows] if base is None else [base, rows]
+        if sum(map(scanned_bytes, parts)) > LARGE_MERGE:
+            with sized_shuffles(rows if base is None else base.select(self.key).union(rows.select(self.key))):
+                brought = Brought.of(base, rows, self.key, kept)
+            if brought is not None:
+                merged = brought.merge(base, rows, ties)
+                return merged, not self._scattered(*parts)
+        if base is None:
+            return latest_per_key(rows, [self.key], [WRITE_DATE, *ties]), False
+        return upsert_merge(base, rows, [self.key], ties=ties), False
+
     def merge(self, table: str, delta: DataFrame, ties: Sequence[str] = ()) -> None:
         """Put the rows of ``delta`` into the table by key; repeating a merge changes nothing.
 
-        Touched slots are read, merged and written as whole partitions, rebalanced so that a large slot becomes
-        several files. A batch with a NULL key is refused as a whole, as is a key that is no integer.
+        Touched slots are read, merged and written as whole partitions, a large slot as several files. ``delta`` is read
+        several times, so it must be a fixed batch. A batch with a NULL key is refused as a whole, as is a key that is no integer.
         """
         if not isinstance(delta.schema[self.key].dataType, T.IntegralType):
             raise TypeError(f"the key {self.key} of {table} must be an integer, not {delta.schema[self.key].dataType.simpleString()}")
@@ -185,7 +239,7 @@ class Replica:
         columns = T.StructType((schema.fields if schema else []) + [f for f in delta.schema.fields if not schema or f.name not in schema.names])
         replaced = None
         if schema is None:
-            merged = latest_per_key(rows, [self.key], [WRITE_DATE, *ties])
+            merged, dealt = self._merged(None, rows, ties, self._brought_path(table, version)) if touched else (rows, False)
         else:
             state = self._state(table)
             if len(touched) <= FEW_SLOTS:
@@ -193,9 +247,9 @@ class Replica:
                 few = replaced.collect()
             else:
                 replaced, few = state.join(rows.select(SLOT).distinct(), SLOT), None
-            merged = upsert_merge(self._rows(table, schema, replaced, few), rows, [self.key], ties=ties)
+            merged, dealt = self._merged(self._rows(table, schema, replaced, few), rows, ties, self._brought_path(table, version))
         if touched:
-            self._write(table, merged, version)
+            self._write(table, merged, version, dealt)
         if len(touched) <= FEW_SLOTS:
             new = self.spark.createDataFrame([(slot,) for slot in touched or [None]], f"{SLOT} BIGINT")
         else:
@@ -230,6 +284,11 @@ class Replica:
                 remove_folder(self.spark, path)  # what a writer left that died while it committed
         for row in old:
             remove_folder(self.spark, f"{self.path(table)}/{SLOT}={row[SLOT]}/{VERSION}={row['replaced']}")
+        gone = {row["replaced"] for row in old}
+        if gone:
+            named = self._state(table).select(F.explode(F.array(VERSION, "replaced")).alias(VERSION)).distinct()
+            for name in gone - {row[0] for row in named.collect()}:
+                remove_folder(self.spark, self._brought_path(table, name))
         if folding:
             for n in range(max(1, seq + 1 - 2 * FOLD_EVERY), seq + 1):
                 remove_folder(self.spark, f"{self.root}/commits/{table}/seq={n}")
@@ -259,7 +318,8 @@ def replicate(
     since = watermark.read()
     landing = f"{replica.root}/landing"
     for table, source in sources.items():
-        nan_to_null(changed_rows(source, since)).write.mode("overwrite").parquet(f"{landing}/{table}")
+        changed = nan_to_null(changed_rows(source, since))
+        changed.write.mode("overwrite").option("compression", COMPRESSION).parquet(f"{landing}/{table}")
     for table, source in sources.items():
         replica.merge(table, replica.spark.read.schema(source.schema).parquet(f"{landing}/{table}"))
     watermark.advance(cutoff)

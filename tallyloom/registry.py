@@ -378,7 +378,7 @@ def _maintained(spark: SparkSession, folder: str, keys: dict[str, Column], amoun
     source = standin.erp(tune(spark), folder)
     root = run_folder(spark)
     # The test tables repeat order and line numbers, and a replica holds each id once.
-    source.move_lines.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{root}/moves")
+    source.move_lines.withColumn("id", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(f"{root}/moves")
     moves = spark.read.parquet(f"{root}/moves")
     third = F.col("id") % 3
     first = moves.withColumns(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -304,3 +306,34 @@ def test_all_tables_are_replicated_and_reported_on(spark, tmp_path):
     names = {table: name for table, name in ERP_TABLES.items() if name in sources}
     report = reports.company_account_balance(replicated_erp(target, names))
     assert literal.rows(report) == literal.rows(reports.company_account_balance(data))
+
+
+def test_large_merges_give_what_comparing_whole_rows_gives(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.replicate.LARGE_MERGE", -1)
+    rng = random.Random(3)
+    replica, plain = Replica(spark, str(tmp_path), slot_rows=30_000), None
+    some_day = lambda: rng.choice([None, day(1), day(2), day(3)])
+    for n in range(4):
+        rows = [(rng.randrange(-40, 40) * 1_000 + rng.randrange(3), f"{n}-{k}", some_day()) for k in range(150)]
+        batch = table(spark, *rows)
+        if n == 2:
+            batch = batch.withColumn("extra", F.lit("x")).drop("rate")
+        replica.merge("t", batch)
+        plain = latest_per_key(batch, ["id"], ["write_date"]) if plain is None else upsert_merge(plain, batch, ["id"])
+        found = replica.read("t")
+        assert Counter(found.select(*plain.columns).collect()) == Counter(plain.collect())
+
+
+def test_rows_of_a_large_merge_that_need_no_comparing_are_not_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.replicate.LARGE_MERGE", -1)
+    replica, merged, write = Replica(spark, str(tmp_path), slot_rows=1_000), [], Replica._write
+    monkeypatch.setattr(Replica, "_write", lambda self, name, rows, *rest: merged.append((rows, rest[1])) or write(self, name, rows, *rest))
+    for n in range(3):
+        rows = spark.range(n * 2_000, 6_000).select("id", F.lit(f"v{n}").alias("name"), F.lit(day(n)).cast("timestamp_ntz").alias("write_date"))
+        replica.merge("t", rows)
+        plan = merged[-1][0]._jdf.queryExecution().executedPlan().toString()
+        assert merged[-1][1] and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert replica.read("t").groupBy("name").count().collect() and replica.read("t").count() == 6_000
+    # Batches dealt out over all slots are brought together by slot.
+    replica.merge("t", spark.range(6_000).select("id", F.lit("w").alias("name"), F.lit(day(9)).cast("timestamp_ntz").alias("write_date")).repartition(20))
+    assert not merged[-1][1] and {r["name"] for r in replica.read("t").collect()} == {"w"}
