@@ -1,8 +1,8 @@
 """Sums kept up to date with a replicated table.
 
 A merge replaces some slots of a table and leaves their previous versions in place until the next one. The sums of a group change
-by what its rows sum up to in the new versions of those slots, less what they do in the old ones. So a refresh reads the slots that
-have changed, twice, and the stored sums of groups that changed, but neither the rest of the table nor of the sums. Groups
+by what its rows sum up to in the new versions of those slots, less what they do in the old ones; where a merge has kept which ids it
+brought, only rows with these are summed, as the others are the same in both. So a refresh reads the slots that have changed, twice, and the stored sums of groups that changed, but neither the rest of the table nor of the sums. Groups
 whose last row has gone are removed.
 """
 
@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyloom.plans.replicate import FEW_SLOTS, SLOT, VERSION, ConcurrentWrite, Replica
+from tallyloom.plans.replicate import COMPRESSION, FEW_SLOTS, SLOT, VERSION, ConcurrentWrite, Replica
 from tallyloom.session import run_folder, sized_shuffles
 
 # Rows of this slot state which versions of the table's slots the sums are made from, and in ``ROWS`` the number of parts.
 STATED = -1
 OF_SLOT, OF_VERSION, ROWS = "of_slot", "of_version", "n_rows"
+PLACE = "__place"
 EXACT = "decimal(38,{})"
 
 
@@ -71,10 +72,10 @@ class MaintainedSums:
             added.append(F.when(F.col(name).isNull(), 0).otherwise(sign).cast("long").alias(f"n_{name}"))
         return values.select(*self.keys, *added)
 
-    def _summed(self, rows: DataFrame) -> DataFrame:
+    def _summed(self, rows: DataFrame, *lying_by: str) -> DataFrame:
         """One row a group, with the type that single rows have."""
         totals = [F.sum(c).cast(rows.schema[c].dataType).alias(c) for c in self._totals()]
-        return rows.groupBy(*self.keys).agg(*totals)
+        return rows.groupBy(*lying_by, *self.keys).agg(*totals)
 
     def _in_parts(self, groups: DataFrame) -> DataFrame:
         return groups.withColumn(SLOT, F.pmod(F.xxhash64(*self.keys), F.lit(self.parts)).cast("long"))
@@ -98,36 +99,53 @@ class MaintainedSums:
         if not anew and not n_slots:
             return Refreshed(0, 0, False)
 
-        changes = self._measured(self.replica.rows_of(self.table, (now if anew else moved).select(SLOT, VERSION)), 1)
-        if not anew:
+        changes = self.replica.rows_of(self.table, (now if anew else moved).select(SLOT, VERSION))
+        if anew:
+            changes = self._measured(changes, 1)
+        else:
             before = moved.where(F.col(OF_VERSION).isNotNull()).select(SLOT, F.col(OF_VERSION).alias(VERSION))
-            changes = changes.union(self._measured(self.replica.rows_of(self.table, before), -1))
-        with sized_shuffles(changes):
+            before = self.replica.rows_of(self.table, before)
+            # Rows whose ids no merge has brought are the same in both versions.
+            brought = self.replica.brought(self.table, moved)
+            if brought is not None:
+                changes, before = brought.of_batch(changes), brought.of_batch(before)
+            changes = self._measured(changes, 1).union(self._measured(before, -1))
+
+        def unchanged() -> None:
+            # Old versions go only after a commit, so without one all of them were still there when they were read.
+            if self.replica.last(self.table)[0] != at:
+                raise ConcurrentWrite(f"{self.table} has been written while its sums were refreshed")
+
+        with sized_shuffles(changes) as wanted:
             summed = self._summed(changes)
             some = reduce(or_, [F.col(c) != 0 for c in self._totals()])
-            self._in_parts(summed.where(some)).write.parquet(f"{scratch}/changes")
-        changes = spark.read.parquet(f"{scratch}/changes")
-        # Old versions go only after a commit, so without one all of them were still there when they were read.
-        if self.replica.last(self.table)[0] != at:
-            raise ConcurrentWrite(f"{self.table} has been written while its sums were refreshed")
-
-        if anew:
-            touched, groups = list(range(self.parts)), changes
-        else:
+            summed = self._in_parts(summed.where(some))
+            if anew:
+                touched, groups = list(range(self.parts)), summed.where(F.col(ROWS) > 0).hint("rebalance", SLOT)
+            else:
+                summed.write.option("compression", COMPRESSION).parquet(f"{scratch}/changes")
+        if not anew:
+            changes = spark.read.parquet(f"{scratch}/changes")
+            unchanged()
             touched = [row[0] for row in changes.select(SLOT).distinct().collect()]  # at most ``parts``
             held = self.store.read_slots(self.name, touched) if touched else None
-            groups = changes.drop(SLOT)
+            groups = changes.hint("rebalance", SLOT)
             if held is not None:
-                groups = self._summed(held.select(*groups.columns).unionByName(groups))
-            groups = self._in_parts(groups.where(F.col(ROWS) > 0))
+                both = held.select(*changes.drop(SLOT).columns).unionByName(changes.drop(SLOT))
+                # Either side holds a group once, so nothing is to be combined before parts are brought together.
+                place = F.pmod(F.xxhash64(*self.keys), F.lit(self.parts * -(-wanted // self.parts))).cast("int")
+                both = both.withColumn(PLACE, place).repartition(PLACE)
+                groups = self._in_parts(self._summed(both, PLACE).drop(PLACE))
+            groups = groups.where(F.col(ROWS) > 0)
         stated = now.select(
             F.lit(STATED).cast("long").alias(SLOT),
             F.col(SLOT).alias(OF_SLOT),
             F.col(VERSION).alias(OF_VERSION),
             F.lit(self.parts).cast("long").alias(ROWS),
         )
-        self.store.replace(self.name, [STATED, *touched], groups.unionByName(stated, allowMissingColumns=True), seq)
-        return Refreshed(n_slots, changes.count(), anew)
+        groups = groups.unionByName(stated, allowMissingColumns=True)
+        self.store.replace(self.name, [STATED, *touched], groups, seq, True, unchanged)
+        return Refreshed(n_slots, self.read().count() if anew else changes.count(), anew)
 
     def _known(self, kept: T.StructType | None) -> DataFrame:
         """Which versions the stored sums are made from. Sums of another kind under the same name are refused."""

@@ -169,3 +169,31 @@ def test_refusals_and_empty_tables(spark, tmp_path):
         MaintainedSums(target, "t", "x", {"slot": F.col("account")}, {})
     with pytest.raises(TypeError, match="integer or a decimal"):
         MaintainedSums(target, "t", "y", {"account": F.col("account")}, {"x": F.col("amount").cast("double")}).refresh()
+
+
+def test_large_merges_leave_which_rows_a_refresh_sums(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tallyloom.plans.replicate.LARGE_MERGE", -1)
+    rng = random.Random(9)
+    target = Replica(spark, str(tmp_path), slot_rows=40)
+    sums = by_account(target, parts=3)
+    rows = {i: some_row(i, 0, rng) for i in range(-60, 140)}
+    target.merge("t", frame(spark, list(rows.values())))
+    sums.refresh()
+    summed, measured = [], MaintainedSums._measured
+    monkeypatch.setattr(MaintainedSums, "_measured", lambda self, part, sign: summed.append(part) or measured(self, part, sign))
+    for day in (1, 2):
+        batches = [[some_row(i, day, rng) for i in rng.sample(range(a, b), 12)] for a, b in ((-60, -20), (90, 170))]
+        for batch in batches:
+            rows |= {r[0]: r for r in batch}
+            target.merge("t", frame(spark, batch))
+        done = sums.refresh()
+        assert not done.anew and kept(sums) == expected(rows)
+        brought = {r[0] for batch in batches for r in batch}
+        new, old = ({r.id for r in part.select("id").collect()} for part in summed[-2:])
+        assert new == brought and old <= brought
+    # A repair keeps no ids, so whole versions are summed after it.
+    rows = {i: r for i, r in rows.items() if i % 5}
+    repair(target, "t", frame(spark, list(rows.values())))
+    assert not sums.refresh().anew and kept(sums) == expected(rows)
+    target.merge("t", frame(spark, [some_row(7, 9, rng)]))
+    assert len(list((tmp_path / "brought" / "t").iterdir())) <= 6
