@@ -53,3 +53,71 @@ def test_colliding_hashes_are_told_apart(monkeypatch):
     at, five = np.array([0, 5, 10]), np.full(3, 5)
     bits = repeats.repeated_strings(data, at, five, np.zeros(3, np.int64), np.zeros(3, np.uint32), np.array([1, 2, 3]), 5)
     assert bits.tolist() == [0, 0, 1]
+
+
+def hot_passage(n):
+    """Stretches of 75 bytes whose anchor is in a passage that all hold, with a few bytes before it and their own after it."""
+    rng = np.random.default_rng(2)
+    shared = rng.integers(97, 123, 50)
+    data = rng.integers(97, 100, (n, 75))
+    data[:, 4:54] = shared
+    return data.astype(np.uint8).ravel(), np.arange(n) * 75, np.full(n, 75), np.full(n, 25), rng.permutation(n)
+
+
+def in_earlier(data, at, size, doc, length):
+    first = {}
+    for a, n, d in zip(at, size, doc, strict=True):
+        for i in range(n - length + 1):
+            s = (i, data[a + i : a + i + length].tobytes())
+            first[s] = min(d, first.get(s, d))
+    held = [[d > first[i, data[a + i : a + i + length].tobytes()] for i in range(n - length + 1)] for a, n, d in zip(at, size, doc, strict=True)]
+    return [sum(1 << i for i, x in enumerate(own) if x) for own in held]
+
+
+def test_strings_round_a_common_passage_are_compared_once_each(monkeypatch):
+    compared = []
+    common = repeats.SuffixOrder.common
+    monkeypatch.setattr(repeats.SuffixOrder, "common", lambda self, a, b: compared.append(len(a)) or common(self, a, b))
+    data, at, size, lead, doc = hot_passage(2000)
+    bits = repeats.repeated_strings(data, at, size, lead, np.zeros(2000, np.uint32), doc, 50)
+    assert bits.tolist() == in_earlier(data, at, size, doc, 50)
+    assert sum(compared) <= 2000 * 26
+
+
+def test_suffixes_of_one_anchor_are_sorted_a_part_at_a_time(monkeypatch):
+    monkeypatch.setattr(repeats, "SORTED_AT_ONCE", 1000)
+    sizes = []
+    sort = repeats.SuffixOrder.sort
+    monkeypatch.setattr(repeats.SuffixOrder, "sort", lambda self, suffix, group: sizes.append(len(suffix)) or sort(self, suffix, group))
+    data, at, size, lead, doc = hot_passage(700)
+    h = np.where(np.arange(700) % 10, 7, np.arange(700)).astype(np.uint32)
+    bits = repeats.repeated_strings(data, at, size, lead, h, doc, 50)
+    some = h == 7
+    assert bits[some].tolist() == in_earlier(data, at[some], size[some], doc[some], 50)
+    assert sum(sizes) == 700 * 26 and max(sizes) <= 1000 + some.sum()
+
+
+def test_buckets_are_answered_once(docs):
+    result = repeats.cut_repeats(docs, pack_bytes=20_000, bucket_bytes=20_000)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count(", answer(") == 1
+
+
+def test_anchors_do_not_depend_on_where_chunks_end(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 99, 5000).astype(np.uint8)
+    whole, changes = repeats.anchors(repeats.byte_hashes(data), len(data), 50, 25)
+    monkeypatch.setattr(repeats, "CHUNK", 64)
+    some, others = repeats.anchors(repeats.byte_hashes(data), len(data), 50, 25)
+    assert (whole == some).all() and (changes == others).all() and (np.flatnonzero(np.diff(whole)) + 1 == changes).all()
+
+
+def test_runs_and_rest_of_each_text():
+    data = np.frombuffer(b"abcdefgh", np.uint8)
+    gone = np.array([1, 0, 1, 1, 1, 0, 0, 1], bool)
+    spans, kept = repeats.without(data, np.array([0, 0, 3, 4, 7, 8, 8]), gone)
+    assert spans.to_pylist() == [[], [[0, 1], [2, 3]], [[0, 1]], [[0, 1]], [[0, 1]], []]
+    assert kept.to_pylist() == [b"", b"b", b"", b"fg", b"", b""]
+    spans, kept = repeats.without(data[:0], np.array([0, 0]), gone[:0])
+    assert spans.to_pylist() == [[]] and kept.to_pylist() == [b""]
